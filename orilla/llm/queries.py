@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orilla.llm import packing, token_counts
+from orilla.llm import packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_ledger.ledger(_docs(spark, sf_dir))
+    judged = quality_ledger.apply_policy(rows, quality_ledger.POLICIES["v1"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality_ledger.fails(quality_ledger.mask_of(quality_ledger.BASE)).alias("base_failed"), "kept", "bits")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_sanitise.find_pii(_docs(spark, sf_dir))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(_docs(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -22,8 +37,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_token_counts, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op2_quality_rules, op4_pii, op5_secret_scan, op6_token_counts, op8_best_fit_packing, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
