@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orilla.llm import packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
+from orilla.llm import decontaminate, line_dedup, packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality_ledger.fails(quality_ledger.mask_of(quality_ledger.BASE)).alias("base_failed"), "kept", "bits")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_sanitise.find_pii(_docs(spark, sf_dir))
 
@@ -33,6 +37,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_docs(spark, sf_dir)).select("doc_id", "text", "n_removed_lines", "n_removed_words")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -44,7 +52,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op4_pii, op5_secret_scan, op6_token_counts, op8_best_fit_packing, op9_toxicity)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_decontamination, op4_pii, op5_secret_scan, op6_token_counts, op7_line_dedup, op8_best_fit_packing, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
