@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orilla.llm import decontaminate, line_dedup, packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
+from orilla.llm import decontaminate, line_dedup, ngram_join, packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.groups(_docs(spark, sf_dir), width=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_ledger.ledger(_docs(spark, sf_dir))
     judged = quality_ledger.apply_policy(rows, quality_ledger.POLICIES["v1"])
@@ -52,7 +57,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_decontamination, op4_pii, op5_secret_scan, op6_token_counts, op7_line_dedup, op8_best_fit_packing, op9_toxicity)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_decontamination, op4_pii, op5_secret_scan, op6_token_counts, op7_line_dedup, op8_best_fit_packing, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
