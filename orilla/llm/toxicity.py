@@ -147,18 +147,23 @@ def train(texts: list[bytes], toxic: list[bool], ordinary_size: int = 8192, toxi
     """Dictionaries and weights from labelled texts (UTF-8)."""
     if not any(toxic) or all(toxic):
         return Model(b"\x00" * 8, b"\x00" * 8, (0.0,) * N_FEATURES + (-30.0,))
-    bags = [list(dict.fromkeys(WORD.findall(tk._LOWER[np.frombuffer(t, np.uint8)].tobytes()))) for t in texts]
+    bag_of = lambda t: dict.fromkeys(WORD.findall(tk._LOWER[np.frombuffer(t, np.uint8)].tobytes()))
     common: set[bytes] = set()
-    for bag, bad in zip(bags, toxic):
+    plain: list[bytes] = []
+    each = max(1, windows // max(1, len(texts) - sum(toxic)))
+    for t, bad in zip(texts, toxic):
         if not bad:
+            bag = list(bag_of(t))
             common.update(bag)
+            plain += [b" ".join(bag[i : i + 8]) for i in range(0, len(bag), 8)][:each]
     grams = lambda w: {w[i : i + GRAM] for i in range(len(w) - GRAM + 1)}
     usual: set[bytes] = set()
     for w in common:
         usual |= grams(b" " + w + b" ")
-    own = {t: bag for t, bag, bad in zip(texts, bags, toxic) if bad}  # each distinct text once
+    own = dict.fromkeys(t for t, bad in zip(texts, toxic) if bad)  # each distinct text once
     df: Counter[bytes] = Counter()
-    fresh = [[b" " + w + b" " for w in bag if w not in common] for bag in own.values()]
+    fresh = [[b" " + w + b" " for w in bag_of(t) if w not in common] for t in own]
+    del common
     for bag in fresh:
         df.update(set().union(*(grams(w) for w in bag)) - usual if bag else ())
     telling = {g for g, n in df.items() if n >= max(3, len(own) // 60)}
@@ -173,13 +178,13 @@ def train(texts: list[bytes], toxic: list[bool], ordinary_size: int = 8192, toxi
             runs += [r for r in bytes(c if k else 10 for c, k in zip(w, keep)).split(b"\n") if len(r) >= GRAM]
         if runs:
             residue.append(b"\n".join(runs) + b"\n")
-    plain = [b" ".join(bag[i : i + 8]) for bag, bad in zip(bags, toxic) if not bad for i in range(0, len(bag), 8)]
-    plain = plain[:: max(1, len(plain) // windows)]
     base = _trained(ordinary_size, plain, 64, 8) + HEAD
     model = Model(base, _trained(toxic_size, residue, 16, 6) + base, ()) if residue else Model(base, base, ())
     gains = Gains(model.ordinary, model.toxic)
-    data, offsets = tk.utf8(pa.array(texts, pa.binary()))
-    x = features(*gains.rows(data, offsets), len(texts))
+    x = np.zeros((len(texts), N_FEATURES))
+    for k in range(0, len(texts), 500):
+        data, offsets = tk.utf8(pa.array(texts[k : k + 500], pa.binary()))
+        x[k : k + 500] = features(*gains.rows(data, offsets), len(offsets) - 1)
     return Model(model.ordinary, model.toxic, tuple(_logistic(x, np.array(toxic, float))))
 
 
@@ -188,7 +193,7 @@ def held_out(doc_id):  # noqa: ANN001, ANN201
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_toxic: int = 3000, n_ordinary: int = 12_000, text_bytes: int = 40_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_toxic: int = 2000, n_ordinary: int = 8000, text_bytes: int = 20_000) -> Model:
     """A model from a bounded sample of labelled rows.
 
     At most ``n_toxic`` and ``n_ordinary`` rows that are not held out, by the order
@@ -199,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pick = rated.where("toxic = 1").orderBy(order, id_col).limit(n_toxic).unionByName(rated.where("toxic = 0").orderBy(order, id_col).limit(n_ordinary))
     # at most n_toxic + n_ordinary rows: a bounded broadcast, and a bounded result
     got = docs.select(id_col, F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, text_bytes).alias("text")).join(F.broadcast(pick), id_col).select(id_col, "text", "toxic").dropDuplicates().orderBy(id_col, "text").toArrow()
-    return train([t.encode() for t in got.column("text").to_pylist()], [t == 1 for t in got.column("toxic").to_pylist()])
+    return train(got.column("text").cast(pa.binary()).to_pylist(), [t == 1 for t in got.column("toxic").to_pylist()])
 
 
 _gains: dict[str, Gains] = {}
