@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orilla.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
+from orilla.shipping import ship
 
 
-def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.5) -> DataFrame:
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.4) -> DataFrame:
     """The documents that the classifier doesn't mark; it is fitted on sf_dir's labelled training rows."""
+    ship(spark)
     model = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, threshold=threshold, carry=True).where("predicted = 0").select(*docs.columns)
 
@@ -20,6 +22,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A document that loses a block and has no word left is dropped; one that had none stays.
     """
+    ship(spark)
     done = line_dedup.dedup_lines(docs)
     left = done.where((F.col("n_removed_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
@@ -30,14 +33,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dups_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    ship(spark)
     return ngram_join.keep_first(docs, width=5, percent=80)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that no benchmark item contaminates."""
+    ship(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed pieces of what is left."""
+    ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orilla.llm import decontaminate, line_dedup, ngram_join, packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
+from orilla.llm import decontaminate, html_wrappers, line_dedup, ngram_join, packing, pii_sanitise, quality_ledger, secret_scan, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +56,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_decontamination, op4_pii, op5_secret_scan, op6_token_counts, op7_line_dedup, op8_best_fit_packing, op9_toxicity)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_decontamination, op4_pii, op5_secret_scan, op6_token_counts, op7_line_dedup, op8_best_fit_packing, op9_toxicity, op10_html_wrappers)}
 
 
 def oracle_sql() -> dict[str, str]:
