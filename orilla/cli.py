@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orilla.functions import boxes, payload
 from orilla.operators import d0, ledger, raster, reports
-from orilla.operators.decide import decide
+from orilla.operators.decide import decide, face_gate
 from orilla.shipping import ship
 from orilla.sources import http_source, images, jdbc
 
@@ -43,7 +43,7 @@ def final_records(spark: SparkSession, folder: str, allowed: tuple[str, ...], as
         decoded = ledger.todo(decoded, skip)
     sha = images.fingerprints(images.scan(spark, folder)).select(F.col("path").alias("source"), "sha256")
     good = decoded.where("error IS NULL")
-    seen = decide(raster.profile_images(good, sides=allowed), allowed).withColumn("lot", F.lit(folder))
+    seen = face_gate(decide(raster.profile_images(good, sides=allowed), allowed)).withColumn("lot", F.lit(folder))
     if cache:
         found = d0.fold_lots(d0.narrow(seen)).select("source", "status", "method", boxes.box(F.col("x"), F.col("y"), F.col("w"), F.col("h")).alias("crop_box"), "confidence", "quarantine_reason", "seq")
     else:

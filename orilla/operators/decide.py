@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orilla.functions.boxes import SIDES, box
+from orilla.functions.boxes import SIDES, box, face_violation
 
 DETECTION = ("status", "crop_box", "sides", "method", "confidence", "quarantine_reason", "face_safety_ok")
 
@@ -87,3 +87,15 @@ def frozen_check(width: Column, height: Column, step: Column, mean: Column, brig
         .when(uniform_dark(mean, bright), verdict("quarantine", whole, "uniform_dark_image"))
         .when(good, verdict("crop", box(t["left"], t["top"], new_w, new_h), None))
     )
+
+
+def face_gate(decided: DataFrame) -> DataFrame:
+    """A crop that comes too close to the face goes to quarantine; adds face_detected."""
+    bad = F.when(F.col("status") == "crop", face_violation(F.col("crop_box"), F.col("face"), F.col("width"), F.col("height")))
+    out = decided.withColumn("_bad", bad).withColumn("face_detected", (F.col("status") == "crop") & F.col("face").isNotNull())
+    return (
+        out.withColumn("status", F.when(F.col("_bad").isNotNull(), "quarantine").otherwise(F.col("status")))
+        .withColumn("quarantine_reason", F.when(F.col("_bad").isNotNull(), F.concat(F.lit("face_safety_violation: "), F.col("_bad"))).otherwise(F.col("quarantine_reason")))
+        .withColumn("face_safety_ok", F.col("face_safety_ok") & F.col("_bad").isNull())
+        .drop("_bad")
+    )

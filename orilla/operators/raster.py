@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from orilla.operators.faces import FACE, head
+
 # fixed values of the detector
 DARK, STRICT, BRIGHT = 48 / 255, 16 / 255, 0.60
 WEIGHTS = np.array([0.2126, 0.7152, 0.0722], np.float32)
@@ -28,7 +30,10 @@ CHUNK = 256
 
 SIDE = "struct<run:int,t_glyph:int,mean_dark:double,mean_strict:double,contrast:double,shoulder:double,content_hit:boolean>"
 CHECK = "struct<dark:array<float>,bright:array<float>>"
-PROFILE = f"width int, height int, luma_mean double, bright_frac double, candidates map<string,{SIDE}>, frozen_step int, frozen_luma_mean double, frozen_bright_frac double, frozen_lines map<string,{CHECK}>"
+PROFILE = f"width int, height int, luma_mean double, bright_frac double, candidates map<string,{SIDE}>, frozen_step int, frozen_luma_mean double, frozen_bright_frac double, frozen_lines map<string,{CHECK}>, face {FACE}"
+
+
+COLUMNS = ("width", "height", "luma_mean", "bright_frac", "candidates", "frozen_step", "frozen_luma_mean", "frozen_bright_frac", "frozen_lines", "face")
 
 
 def luma(rgb: np.ndarray) -> np.ndarray:
@@ -210,7 +215,7 @@ def profile(rgb: np.ndarray, sides: tuple[str, ...] = SIDES) -> dict:
     check = stretch(check, anchors(check))
     dark, lit = check < DARK, check > BRIGHT
     lines = {"rows": {"dark": dark.mean(1).astype(np.float32).tolist(), "bright": lit.mean(1).astype(np.float32).tolist()}, "cols": {"dark": dark.mean(0).astype(np.float32).tolist(), "bright": lit.mean(0).astype(np.float32).tolist()}}
-    return {"width": width, "height": height, "luma_mean": float(grid.mean()), "bright_frac": float(bright.mean()), "candidates": found, "frozen_step": fine, "frozen_luma_mean": float(check.mean()), "frozen_bright_frac": float(lit.mean()), "frozen_lines": lines}
+    return {"width": width, "height": height, "luma_mean": float(grid.mean()), "bright_frac": float(bright.mean()), "candidates": found, "frozen_step": fine, "frozen_luma_mean": float(check.mean()), "frozen_bright_frac": float(lit.mean()), "frozen_lines": lines, "face": head(rgb)}
 
 
 def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -225,15 +230,28 @@ def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return rgb
 
 
+def upright(rgb: np.ndarray, orientation: int) -> np.ndarray:
+    """The raster as its EXIF orientation (1 to 8) wants it shown."""
+    if orientation in (5, 6, 7, 8):
+        rgb = rgb.swapaxes(0, 1)
+    if orientation in (2, 3, 6, 7):
+        rgb = rgb[:, ::-1]
+    if orientation in (3, 4, 7, 8):
+        rgb = rgb[::-1]
+    return rgb
+
+
 def profile_images(images: DataFrame, key: str = "source", image: str = "image", sides: tuple[str, ...] = SIDES) -> DataFrame:
     """key and profile of (key, image struct) rows; pixels don't leave the scan's task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
-            for k, h, w, c, d in zip(f["key"], f["height"], f["width"], f["channels"], f["data"]):
-                rows.append({"key": k, **profile(to_rgb(d, h, w, c), sides)})
-            yield pd.DataFrame(rows, columns=["key", *(p.split()[0] for p in PROFILE.replace(f"map<string,{SIDE}>", "m").replace(f"map<string,{CHECK}>", "m").split(", "))])
+            for k, h, w, c, d, o in zip(f["key"], f["height"], f["width"], f["channels"], f["data"], f["orientation"]):
+                rows.append({"key": k, **profile(upright(to_rgb(d, h, w, c), o), sides)})
+            yield pd.DataFrame(rows, columns=["key", *COLUMNS])
+
+    orientation = "orientation" if "orientation" in images.columns else "1"
 
-    flat = images.selectExpr(f"{key} AS key", f"{image}.height AS height", f"{image}.width AS width", f"{image}.nChannels AS channels", f"{image}.data AS data")
+    flat = images.selectExpr(f"{key} AS key", f"{image}.height AS height", f"{image}.width AS width", f"{image}.nChannels AS channels", f"{image}.data AS data", f"{orientation} AS orientation")
     return flat.mapInPandas(run, f"key string, {PROFILE}").withColumnRenamed("key", key)

@@ -22,17 +22,58 @@ def scan(spark: SparkSession, folder: str, limit: int | None = None) -> DataFram
     return files.orderBy("path").limit(limit) if limit is not None else files
 
 
+def exif_orientation(content: bytes) -> int:
+    """The orientation in a JPEG's EXIF block, 1 if there is none."""
+    if content[:2] != b"\xff\xd8":
+        return 1
+    at = 2
+    while at + 4 <= len(content) and content[at] == 0xFF:
+        marker, size = content[at + 1], int.from_bytes(content[at + 2 : at + 4], "big")
+        part = content[at + 4 : at + 2 + size]
+        if marker == 0xE1 and part[:6] == b"Exif\x00\x00":
+            tiff = part[6:]
+            order = {b"II": "little", b"MM": "big"}.get(tiff[:2])
+            if order is None:
+                return 1
+            num = lambda a, n: int.from_bytes(tiff[a : a + n], order)
+            first = num(4, 4)
+            for i in range(num(first, 2)):
+                entry = first + 2 + 12 * i
+                if num(entry, 2) == 0x0112:
+                    value = num(entry + 8, 2)
+                    return value if 1 <= value <= 8 else 1
+            return 1
+        if marker == 0xDA:
+            return 1
+        at += 2 + size
+    return 1
+
+
+def orientations(files: DataFrame) -> DataFrame:
+    """source and orientation of the files that aren't upright; only JPEG heads are looked at."""
+
+    def run(frames):  # noqa: ANN001, ANN202
+        for f in frames:
+            f = f.assign(orientation=[exif_orientation(bytes(c)) for c in f["head"]])
+            yield f.loc[f["orientation"] != 1, ["source", "orientation"]]
+
+    heads = files.where(F.startswith("content", F.unhex(F.lit("FFD8FF")))).select(F.col("path").alias("source"), F.substring("content", 1, 65536).alias("head"))
+    return heads.mapInPandas(run, "source string, orientation int")
+
+
 def fingerprints(files: DataFrame) -> DataFrame:
     """path, length and SHA-256 of the content."""
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 def decode(spark: SparkSession, folder: str, max_pixels: int = MAX_PIXELS) -> DataFrame:
-    """source, image and error; undecodable files and those over the pixel ceiling have an error."""
+    """source, image, error and EXIF orientation; undecodable files and those over the pixel ceiling have an error."""
     rows = spark.read.format("image").option("recursiveFileLookup", True).load(folder)
     w, h = F.col("image.width"), F.col("image.height")
     error = F.when(w < 0, "unsupported_format").when(w.cast("long") * h > max_pixels, "image_too_large_blocked")
-    return rows.select(F.col("image.origin").alias("source"), F.when(error.isNull(), F.col("image")).alias("image"), error.alias("error"))
+    out = rows.select(F.col("image.origin").alias("source"), F.when(error.isNull(), F.col("image")).alias("image"), error.alias("error"))
+    turned = orientations(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder))
+    return out.join(turned, "source", "left").withColumn("orientation", F.coalesce("orientation", F.lit(1)))
 
 
 def png(rgb: np.ndarray) -> bytes:
@@ -56,15 +97,15 @@ def write_crops(decoded: DataFrame, decisions: DataFrame, out: str) -> None:
 
     decisions: source, status, crop_box, out_name. Only rows with status ok are written.
     """
-    from orilla.operators.raster import to_rgb
+    from orilla.operators.raster import to_rgb, upright
 
-    rows = decoded.join(decisions.where("status = 'ok'"), "source").select("image", "crop_box", "out_name")
+    rows = decoded.join(decisions.where("status = 'ok'"), "source").select("image", "orientation", "crop_box", "out_name")
 
     def save(part) -> None:  # noqa: ANN001
         os.makedirs(out, exist_ok=True)
         for r in part:
             i, b = r["image"], r["crop_box"]
-            rgb = to_rgb(i["data"], i["height"], i["width"], i["nChannels"])[b["y"] : b["y"] + b["h"], b["x"] : b["x"] + b["w"]]
+            rgb = upright(to_rgb(i["data"], i["height"], i["width"], i["nChannels"]), r["orientation"])[b["y"] : b["y"] + b["h"], b["x"] : b["x"] + b["w"]]
             name = f"{out}/{r['out_name']}"
             data = bmp(rgb) if name.lower().endswith(".bmp") else png(rgb)
             with open(f"{name}.{os.getpid()}.part", "wb") as f:

@@ -155,6 +155,30 @@ def test_streamed_fold_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, spark.table("folded").collect())) == batch
 
 
+def test_face_gate(spark):
+    from orilla.operators.decide import face_gate
+
+    rows = [{"source": k, **raster.profile(bar(photo(), "bottom", t))} for k, t in (("a", 60), ("b", 145))]
+    got = {r["source"]: r for r in face_gate(decide(spark.createDataFrame(rows, f"source string, {raster.PROFILE}"))).collect()}
+    assert got["a"]["status"] == "crop" and got["a"]["face_detected"]
+    assert got["b"]["status"] == "quarantine" and got["b"]["quarantine_reason"].startswith("face_safety_violation: bottom") and not got["b"]["face_safety_ok"]
+
+
+def test_orientation():
+    from orilla.sources.images import exif_orientation
+
+    a = np.arange(24).reshape(2, 4, 3)
+    turned = {1: a, 2: a[:, ::-1], 3: a[::-1, ::-1], 4: a[::-1], 5: a.swapaxes(0, 1), 6: np.rot90(a, -1), 7: np.rot90(a, -1)[::-1], 8: np.rot90(a)}
+    for o, want in turned.items():
+        assert (raster.upright(a, o) == want).all(), o
+    for order, mark in (("big", b"MM"), ("little", b"II")):
+        n = lambda v, k: v.to_bytes(k, order)  # noqa: B023, E731
+        tiff = mark + n(42, 2) + n(8, 4) + n(1, 2) + n(0x0112, 2) + n(3, 2) + n(1, 4) + n(6, 2) + n(0, 2)
+        part = b"Exif\x00\x00" + tiff
+        assert exif_orientation(b"\xff\xd8\xff\xe1" + (len(part) + 2).to_bytes(2, "big") + part + b"\xff\xda") == 6
+    assert exif_orientation(b"\xff\xd8\xff\xda") == 1 and exif_orientation(b"") == 1
+
+
 def test_head_without_opencv():
     f = head(photo())
     assert f["bbox"]["x"] <= 120 and f["chin_y"] > 100
