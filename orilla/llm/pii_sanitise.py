@@ -112,21 +112,24 @@ def disclosing(found: DataFrame, near: DataFrame, documents: DataFrame, support:
     Candidate pairs have the support; only their terms are counted over the corpus.
     The candidates' count is checked before they are broadcast; else both sides shuffle.
     """
+    total = documents.agg(F.approx_count_distinct("text_key", 0.02).alias("n")).first()["n"] or 1
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("n_et")).where(F.col("n_et") >= support)
-    pairs = workspace.materialize(pairs, "pii_pairs")
+    entities = found.where(F.size("base") > 0).select("text_key", F.explode(F.transform("base", lambda s: F.lower(s["value"]))).alias("entity"))
+    n_e = entities.groupBy("entity").agg(F.count_distinct("text_key").alias("n_e")).where(F.col("n_e") < total)
+    n_near = near.groupBy("term").agg(F.count_distinct("text_key").alias("n_near"))
+    # n_near bounds n_t from below, so a term beside too many texts can't reach the threshold
+    most = F.col("n_et") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - generalise))
+    pairs = workspace.materialize(pairs.join(n_e, "entity").join(n_near, "term").where(F.col("n_near") <= most), "pii_pairs")
     terms = pairs.select("term").distinct()
     n_terms = terms.count()
     if n_terms == 0:
         return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit(False).alias("removed"))
-    entities = found.where(F.size("base") > 0).select("text_key", F.explode(F.transform("base", lambda s: F.lower(s["value"]))).alias("entity"))
-    n_e = entities.groupBy("entity").agg(F.count_distinct("text_key").alias("n_e"))
     bags = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0)))).alias("term"), "text_key")
     bags = bags.join(F.broadcast(terms) if n_terms <= broadcast_rows else terms, "term", "left_semi")
     n_t = bags.groupBy("term").agg(F.approx_count_distinct("text_key", 0.02).alias("n_t"))
-    total = documents.agg(F.approx_count_distinct("text_key", 0.02).alias("n"))
-    ic = F.log2(F.col("n") / F.col("n_e"))
-    pmi = F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    rated = pairs.join(n_e, "entity").join(n_t, "term").join(F.broadcast(total)).withColumn("share", F.when(ic > 0, pmi / ic).otherwise(0.0))
+    ic = F.log2(F.lit(float(total)) / F.col("n_e"))
+    pmi = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_near", "n_et")))
+    rated = pairs.join(n_t, "term").withColumn("share", pmi / ic)
     return rated.where(F.col("share") >= generalise).select("entity", "term", "share", (F.col("share") >= remove).alias("removed"))
 
 
