@@ -165,7 +165,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = workspace.materialize(removals(docs, id_col, text_col, min_words), "removals")
     gone = gone.select(F.col("key").alias("_key"), F.col("places").alias("_places"), F.col("n_words").alias("n_removed_words"))
     own = docs.withColumn("_key", F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(text_col).alias("h")))
-    joined = own.join(gone, "_key", "left")
+    # always the same plan: a broadcast on small inputs alone would hide what the join moves on large ones
+    joined = own.join(gone.hint("merge"), "_key", "left")
     lines = F.split(F.col(text_col), "\n", -1)
     places = F.col("_places")
     # sorted places: a line stays if it isn't among them
