@@ -14,9 +14,10 @@ The set whose prefix ends first finds its signature in the other's prefix.
 
 Candidates are verified on whole sets, after an exact upper bound from
 histograms of token hashes. Classes of one signature are first compared with one
-of them; what is linked by then needs no further comparison, and only pairs of
-different components that share a signature are left, so a group of copies costs
-as many pairs as it has members. No candidate is dropped.
+of them, then with their likeliest partners, then with all others, each time only
+across components, as what is linked by then needs no further comparison. Large
+groups are compared block by block inside tasks, which give out only the pairs
+that the bound allows. No candidate is dropped.
 
 Which tokens count as frequent is a matter of cost alone, not of results: those
 with the highest counts in chunks of the corpus, at most ``frequent`` of them.
@@ -41,7 +42,7 @@ from orilla.llm import textkernel as tk
 from orilla.llm.components import components
 
 BUCKETS = 256
-CHUNK = 6_000_000
+CHUNK = 2_500_000
 _U = np.uint64
 
 
@@ -166,8 +167,9 @@ def _verified(percent: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = np.zeros(b.num_rows, bool)
-            for i, (p, q) in enumerate(zip(b.column("tx").to_pylist(), b.column("ty").to_pylist())):
-                x, y = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            tx, ty = b.column("tx"), b.column("ty")
+            for i in range(b.num_rows):  # one pair's sets at a time in Python's own memory
+                x, y = (np.frombuffer(t[i].as_buffer(), np.uint64) for t in (tx, ty))
                 s = np.sort(np.concatenate([x, y]), kind="stable")
                 both = int((s[1:] == s[:-1]).sum())
                 ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
@@ -188,7 +190,93 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     return workspace.materialize(full.mapInArrow(_verified(percent), "x long, y long"), "links")
 
 
-def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", frequent: int = 500_000, least: int = 32) -> DataFrame:
+def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of sorted batches, one table each; a group may span batches."""
+    held: pa.Table | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        held = t if held is None else pa.concat_tables([held, t])
+        k = np.stack([held.column(c).to_numpy() for c in keys], 1)
+        edge = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
+        at = 0
+        for z in edge.tolist():
+            yield held.slice(at, z - at)
+            at = z
+        held = held.slice(at)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _group_pairs(t: pa.Table, percent: int, most: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (x, y) of one group of blocks that share a signature, differ in root, and may link."""
+    t = t.combine_chunks()
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    c, root, n, block = (t.column(k).to_numpy() for k in ("c", "root", "n", "block"))
+    m = len(c)
+    sigs = t.column("sigs").combine_chunks()
+    if isinstance(sigs, pa.ChunkedArray):
+        sigs = pa.concat_arrays(sigs.chunks)
+    flat, at = sigs.flatten().to_numpy(), np.diff(sigs.offsets.to_numpy())
+    owner = np.repeat(np.arange(m), at)
+    order = np.argsort(flat, kind="stable")
+    edges = np.flatnonzero(np.diff(flat[order])) + 1
+    share = np.zeros((m, m), bool)
+    for own in np.split(owner[order], edges):
+        if len(own) > 1:
+            share[np.ix_(own, own)] = True
+    share &= (root[:, None] != root[None, :]) & ((block[:, None] == i) & (block[None, :] == j) | (block[:, None] == j) & (block[None, :] == i))
+    share &= (100 * n[:, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[:, None])
+    p, q = np.nonzero(np.triu(share, 1))
+    if not len(p):
+        return c[:0], c[:0]
+    hist = np.frombuffer(b"".join(t.column("hist").to_pylist()), np.uint8).reshape(m, BUCKETS)
+    ok, near = np.zeros(len(p), bool), np.zeros(len(p))
+    for a in range(0, len(p), 20_000):
+        x, y = p[a : a + 20_000], q[a : a + 20_000]
+        both = np.minimum(hist[x], hist[y])
+        top, total = both.sum(1, dtype=np.int64), n[x] + n[y]
+        ok[a : a + 20_000] = (both == 255).any(1) | (100 * top >= percent * (total - top))
+        near[a : a + 20_000] = top / (total - top)
+    p, q, near = p[ok], q[ok], near[ok]
+    if most is not None and len(p):
+        # for each member its likeliest partners first; the others wait for the last round
+        who, rank = np.concatenate([p, q]), np.zeros(2 * len(p), np.int64)
+        order = np.lexsort((-np.concatenate([near, near]), who))
+        first = np.concatenate([[0], np.flatnonzero(np.diff(who[order])) + 1])
+        rank[order] = np.arange(len(who)) - np.repeat(first, np.diff(np.append(first, len(who))))
+        ok = (rank[: len(p)] < most) | (rank[len(p) :] < most)
+        p, q = p[ok], q[ok]
+    return np.minimum(c[p], c[q]), np.maximum(c[p], c[q])
+
+
+def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent: int, most: int | None, block: int = 768) -> DataFrame:
+    """Pairs of classes in different components that share a signature and may link.
+
+    All classes of one signature have the same hub, so rows are gathered by hub, each
+    class once with its signatures there. Large groups are cut into blocks of a bounded
+    size, and every two blocks meet in a task of their own. With ``most``, only the
+    likeliest partners of each class come out; the call without it gives all the rest.
+    """
+    named = shared.join(root.select(F.col("u").alias("c"), F.col("v").alias("root")), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    open_sigs = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
+    member = named.join(open_sigs, "sig", "left_semi").groupBy("hub", "c", "root").agg(F.collect_list("sig").alias("sigs"))
+    member = workspace.materialize(member.join(classes.select("c", "n", "hist"), "c"), "open")
+    size = member.groupBy("hub").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("hub", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    placed = member.join(size, "hub").withColumn("block", F.pmod(F.xxhash64("c", F.lit(5)), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "root", "n", "sigs", "hist")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _rows_of_groups(batches, ["hub", "i", "j"]):
+            x, y = _group_pairs(t, percent, most)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+    return dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(run, "x long, y long").distinct()
+
+
+def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", frequent: int = 500_000, least: int = 32, partners: int = 4) -> DataFrame:
     """id, text_key, n, n_links, component_id of every row.
 
     component_id is the smallest id reachable by links; n_links counts the other
@@ -206,18 +294,21 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
     index = classes.select("c", F.explode("sigs").alias("sig"))
     hubs = index.groupBy("sig").agg(F.min("c").alias("hub"), F.max("c").alias("far")).where("hub <> far").select("sig", "hub")
     shared = workspace.materialize(index.join(hubs, "sig").select("sig", "c", "hub"), "shared")
-    first = workspace.materialize(shared.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct(), "pairs")
-    near = _links(first, classes, docs, id_col, text_col, width, percent)
-    root = components(near.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    named = shared.select("sig", "c").join(root.select(F.col("u").alias("c"), F.col("v").alias("root")), "c", "left").select("sig", "c", F.coalesce("root", "c").alias("root"))
-    open_sigs = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    left = workspace.materialize(named.join(open_sigs, "sig", "left_semi").join(classes.select("c", "n"), "c"), "open")
-    a, b = left.alias("a"), left.alias("b")
-    cross = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.c") < F.col("b.c")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)).select(F.col("a.c").alias("x"), F.col("b.c").alias("y")).distinct()
-    rest = cross.join(first, ["x", "y"], "left_anti")
-    more = _links(rest, classes, docs, id_col, text_col, width, percent)
-    links = near.unionByName(more)
-    root = components(links.select(F.col("x").alias("u"), F.col("y").alias("v"))).select(F.col("u").alias("c"), F.col("v").alias("root"))
+    links = tried = None
+    root = shared.sparkSession.createDataFrame([], "u long, v long")
+    for most in (0, partners, None):
+        if most == 0:
+            pairs = shared.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct()
+        else:
+            pairs = _open_pairs(shared, classes, root, percent, most).join(tried, ["x", "y"], "left_anti")
+        pairs = workspace.materialize(pairs, "pairs")
+        if links is not None and pairs.isEmpty():
+            continue
+        found = _links(pairs, classes, docs, id_col, text_col, width, percent)
+        if not found.isEmpty():
+            root = components(root.unionByName(found.select(F.col("x").alias("u"), F.col("y").alias("v"))))
+        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
+    root = root.select(F.col("u").alias("c"), F.col("v").alias("root"))
     degree = links.select(F.col("x").alias("c")).union(links.select(F.col("y").alias("c"))).groupBy("c").agg(F.count("*").alias("n_links"))
     member = classes.select("set_id", "c", "id").join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least_id = member.groupBy("root").agg(F.min("id").alias("component_id"))
