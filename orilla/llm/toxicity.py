@@ -193,7 +193,7 @@ def held_out(doc_id):  # noqa: ANN001, ANN201
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_toxic: int = 2000, n_ordinary: int = 8000, text_bytes: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_toxic: int = 2000, n_ordinary: int = 6000, text_bytes: int = 15_000) -> Model:
     """A model from a bounded sample of labelled rows.
 
     At most ``n_toxic`` and ``n_ordinary`` rows that are not held out, by the order
@@ -202,9 +202,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rated = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col(id_col), F.lit(17))
     pick = rated.where("toxic = 1").orderBy(order, id_col).limit(n_toxic).unionByName(rated.where("toxic = 0").orderBy(order, id_col).limit(n_ordinary))
-    # at most n_toxic + n_ordinary rows: a bounded broadcast, and a bounded result
-    got = docs.select(id_col, F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, text_bytes).alias("text")).join(F.broadcast(pick), id_col).select(id_col, "text", "toxic").dropDuplicates().orderBy(id_col, "text").toArrow()
-    return train(got.column("text").cast(pa.binary()).to_pylist(), [t == 1 for t in got.column("toxic").to_pylist()])
+    # at most n_toxic + n_ordinary rows: a bounded broadcast, and one bounded task that learns
+    rows = docs.select(id_col, F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, text_bytes).alias("text")).join(F.broadcast(pick), id_col).select("text", "toxic").dropDuplicates()
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sorted({(t, y) for b in batches for t, y in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist())})
+        m = train([t for t, _ in seen], [y == 1 for _, y in seen])
+        yield pa.RecordBatch.from_arrays([pa.array([m.ordinary], pa.binary()), pa.array([m.toxic], pa.binary()), pa.array([list(m.weights)], pa.list_(pa.float64()))], ["ordinary", "toxic", "weights"])
+
+    m = rows.coalesce(1).mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
+    return Model(bytes(m["ordinary"]), bytes(m["toxic"]), tuple(m["weights"]))
 
 
 _gains: dict[str, Gains] = {}
