@@ -260,11 +260,9 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent:
     likeliest partners of each class come out; the call without it gives all the rest.
     """
     named = shared.join(root.select(F.col("u").alias("c"), F.col("v").alias("root")), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    open_sigs = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    member = named.join(open_sigs, "sig", "left_semi").groupBy("hub", "c", "root").agg(F.collect_list("sig").alias("sigs"))
-    member = workspace.materialize(member.join(classes.select("c", "n", "hist"), "c"), "open")
+    member = workspace.materialize(named.groupBy("hub", "c", "root").agg(F.collect_list("sig").alias("sigs")), "open")
     size = member.groupBy("hub").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("hub", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    placed = member.join(size, "hub").withColumn("block", F.pmod(F.xxhash64("c", F.lit(5)), F.col("blocks")).cast("int"))
+    placed = member.join(size, "hub").join(classes.select("c", "n", "hist"), "c").withColumn("block", F.pmod(F.xxhash64("c", F.lit(5)), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "root", "n", "sigs", "hist")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
