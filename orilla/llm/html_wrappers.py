@@ -96,15 +96,21 @@ def blocks(page: str) -> Iterator[tuple[str, str, Element]]:
         if held:
             text = " ".join(_html.unescape("".join(held)).split())
             held.clear()
+            told[0] = False
             if text:
                 yield "text", text, owner[0]
 
     owner = [stack[-1]]
+    told = [False]
 
     def add(text: str) -> None:
         if text and not stack[-1].out:
-            if not held:
-                owner[0] = stack[-1]
+            # blank pieces own nothing; a text belongs to a link only if all of its pieces stand in links
+            if not told[0] or (owner[0].link and not stack[-1].link):
+                if not told[0]:
+                    owner[0] = stack[-1]
+                if _html.unescape(text).strip():
+                    owner[0], told[0] = stack[-1], True
             held.append(text)
 
     def pop(to: int) -> Iterator[tuple[str, str, Element]]:

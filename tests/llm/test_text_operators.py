@@ -249,3 +249,9 @@ def test_wrapper_inference():
     assert "'+', '<li>', '#', '</li>'" in shown and "['?', '<div.ad>']" in shown
     for p in pages:
         assert html_wrappers.infer([w, html_wrappers.skeleton(p)]) == w
+
+
+def test_html_body_keeps_text_that_begins_with_a_link():
+    page = "<body><p><a href=x>Name</a> and the rest of a long paragraph</p><p> <a href=y>menu</a> <a href=z>item</a>\n</p><p>&nbsp;<a href=y>only</a></p><div>plain</div></body>"
+    assert html_wrappers.main_text(page, "body") == "Name and the rest of a long paragraph plain"
+    assert html_wrappers.main_text("<p><a>all</a> <a>links</a></p>", "body") == ""
