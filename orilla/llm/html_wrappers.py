@@ -4,10 +4,16 @@ A page is a stream of block tags and text slots; runs that repeat are folded int
 repeated groups. The pages of a host are aligned one distinct stream after the
 other: what matches stays, what doesn't becomes optional, what repeats becomes
 a group, and text that differs is a slot. The wrapper that results says which
-slots the host's template has. The main text is read from the slots of the
-template's main region: its article, else its main part, else the container
-named as content, else the body; menus, headers, footers, sidebars, notices,
-adverts, forms and comments are never part of it.
+slots the host's template has. Each page is then matched against its host's
+wrapper. A text that stands at one place of the wrapper on every page that has
+the place is the template's own and no slot's value; it takes ``support``
+different pages to tell, and copies of one page prove nothing.
+
+The main text is read from the slots of the template's main region: its article,
+else its main part, else the container named as content, else the body. What
+varies from page to page is told apart by names alone: menus, headers, footers,
+sidebars, notices, adverts, forms and comments are never part of it. A page all
+of whose text is the template's keeps it.
 
 Distinct streams are counted before they are shuffled, and a host's streams are
 aligned in salted groups first, so that no task gets all pages of a host.
@@ -21,6 +27,7 @@ no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import json
 import re
@@ -171,6 +178,24 @@ def blocks(page: str) -> Iterator[tuple[str, str, Element]]:
     yield from pop(1)
 
 
+class Slot(str):
+    """A text slot of one page: equal to any other, and the places of its texts on the page."""
+
+    __slots__ = ("at",)
+
+    def __new__(cls, at: tuple[int, ...]) -> Slot:
+        self = super().__new__(cls, "#")
+        self.at = at
+        return self
+
+
+def _both(a, b):  # noqa: ANN001, ANN202
+    """Two equal tokens as one that has the places of both."""
+    if isinstance(a, list):
+        return [_both(x, y) for x, y in zip(a, b)]
+    return Slot(a.at + b.at) if isinstance(a, Slot) and isinstance(b, Slot) else a
+
+
 def fold(tokens: list) -> list:
     """Neighbouring equal runs become repeated groups: ["+", ...]."""
     out: list = []
@@ -183,16 +208,17 @@ def fold(tokens: list) -> list:
                 tail = out[-w:]
                 before = out[-2 * w : -w] if len(out) >= 2 * w else None
                 if before == tail and not (w == 1 and tail[0] == "#"):
-                    out[-2 * w :] = [tail[0] if w == 1 and isinstance(tail[0], list) else ["+", *tail]]
+                    one = [_both(x, y) for x, y in zip(before, tail)]
+                    out[-2 * w :] = [one[0] if w == 1 and isinstance(one[0], list) else ["+", *one]]
                     changed = True
                     break
                 group = out[-w - 1] if len(out) > w else None
                 if isinstance(group, list) and group[0] == "+" and group[1:] == tail:
-                    del out[-w:]
+                    out[-w - 1 :] = [_both(group, ["+", *tail])]
                     changed = True
                     break
                 if w == 1 and tail[0] == "#" and len(out) > 1 and out[-2] == "#":
-                    out.pop()
+                    out[-2:] = [_both(out[-2], out[-1])]
                     changed = True
                     break
     return out
@@ -203,6 +229,19 @@ def skeleton(page: str) -> list:
     return fold([f"<{x}>" if kind == "open" else f"</{x}>" if kind == "close" else "#" for kind, x, _ in blocks(page)])
 
 
+def marked(page: str) -> tuple[list, list[tuple[str, Element]]]:
+    """The same stream, its slots with the places of their texts; and the texts."""
+    tokens: list = []
+    texts: list[tuple[str, Element]] = []
+    for kind, x, e in blocks(page):
+        if kind == "text":
+            tokens.append(Slot((len(texts),)))
+            texts.append((x, e))
+        else:
+            tokens.append(f"<{x}>" if kind == "open" else f"</{x}>")
+    return fold(tokens), texts
+
+
 def _key(token) -> str:  # noqa: ANN001
     return token if isinstance(token, str) else json.dumps(token)
 
@@ -234,6 +273,28 @@ def infer(streams: list[list]) -> list:
     return wrapper
 
 
+def match(wrapper: list, stream: list) -> list[tuple[int, int]]:
+    """(number of the wrapper's slot, number of the stream's slot) of those that match, both in the order of the page."""
+
+    def slots(token) -> int:  # noqa: ANN001
+        return sum(map(slots, token)) if isinstance(token, list) else int(token == "#")
+
+    w_at, s_at = [0], [0]
+    for at, items in ((w_at, wrapper), (s_at, stream)):
+        for t in items:
+            at.append(at[-1] + slots(t))
+    a, b = [_key(_bare(t)) for t in wrapper], [_key(_bare(t)) for t in stream]
+    out = []
+    for i, j, n in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+        out += zip(range(w_at[i], w_at[i + n]), range(s_at[j], s_at[j + n]))
+    return out
+
+
+def _places(stream: list) -> list[tuple[int, ...]]:
+    """The places of the texts of each slot of a marked stream."""
+    return [x for t in stream for x in (_places(t) if isinstance(t, list) else [t.at] if isinstance(t, Slot) else [])]
+
+
 def region(wrapper: list) -> str:
     """The template's main region: the first kind under which the wrapper has a text slot outside asides."""
     found: set[str] = set()
@@ -259,16 +320,23 @@ def region(wrapper: list) -> str:
     return next((r for r in REGIONS if r in found), "body")
 
 
-def main_text(page: str | None, where: str) -> str:
-    """The text of the region's slots in page order; a page without that region falls back to the next one."""
-    if not page:
-        return ""
-    got = [(x, e) for kind, x, e in blocks(page) if kind == "text" and not e.out]
+def within(texts: list[tuple[str, Element]], where: str) -> list[int]:
+    """The numbers of the region's texts; a page without that region falls back to the next one."""
     for r in REGIONS[REGIONS.index(where) :]:
-        own = [x for x, e in got if {"article": e.article, "main": e.main, "named": e.named, "body": not e.link}[r]]
+        own = [i for i, (_, e) in enumerate(texts) if not e.out and {"article": e.article, "main": e.main, "named": e.named, "body": not e.link}[r]]
         if own:
-            return " ".join(own)
-    return ""
+            return own
+    return []
+
+
+def main_text(page: str | None, where: str) -> str:
+    """The text of the region's slots in page order."""
+    texts = [(x, e) for kind, x, e in blocks(page or "") if kind == "text"]
+    return " ".join(texts[i][0] for i in within(texts, where))
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def host(url):  # noqa: ANN001, ANN201
@@ -298,24 +366,68 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sal
     return parts.groupBy("host").applyInPandas(_infer, "host string, stream string, n long").select("host", F.col("stream").alias("wrapper"), F.col("n").alias("n_pages"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_rows: int = 50_000) -> DataFrame:
-    """id, url, text, n_chars of every page."""
-    found = workspace.materialize(wrappers(pages, url_col, html_col), "wrappers")
+PARTS = "array<struct<slot:int,digest:long,text:string>>"
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array([region(json.loads(w)) for w in b.column("wrapper").to_pylist()], pa.string())], ["host", "region"])
 
-    regions = found.mapInArrow(name, "host string, region string").where("region <> 'article'")
-    # hosts of the commonest kind need no row; the others are sent to all executors only if they are few
-    few = regions.limit(broadcast_rows + 1).count() <= broadcast_rows
+def matched(pages: DataFrame, found: DataFrame, id_col: str, url_col: str, html_col: str, broadcast_bytes: int) -> DataFrame:
+    """id, url, host, page (a digest of its text) and parts: the region's texts, each with the wrapper's slot or -1."""
+    size = found.agg(F.sum(F.length("wrapper"))).first()[0] or 0
     own = pages.select(F.col(id_col), F.col(url_col), host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    told = own.join(F.broadcast(regions) if few else regions, "host", "left").select(id_col, url_col, "html", F.coalesce("region", F.lit("article")).alias("region"))
+    known = found.select("host", "wrapper")
+    told = own.join(F.broadcast(known) if size <= broadcast_bytes else known, "host", "left").select(id_col, url_col, "host", "html", "wrapper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: dict[str, tuple[list, str]] = {}
+        pairs: dict[tuple[str, str], list[tuple[int, int]]] = {}
         for b in batches:
-            text = [main_text(p, r) for p, r in zip(b.column("html").to_pylist(), b.column("region").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], [id_col, url_col, "text", "n_chars"])
+            keys, parts = [], []
+            for page, w in zip(b.column("html").to_pylist(), b.column("wrapper").to_pylist()):
+                stream, texts = marked(page or "")
+                if w is None:
+                    w = "[]"
+                if w not in of:
+                    if len(of) >= 2000:  # what is kept is only a matter of cost
+                        of.clear()
+                    of[w] = json.loads(w), region(json.loads(w))
+                wrapper, where = of[w]
+                key = w, json.dumps(stream)
+                if key not in pairs:
+                    if len(pairs) >= 2000:
+                        pairs.clear()
+                    pairs[key] = match(wrapper, stream)
+                places = _places(stream)
+                slot = {i: s for s, k in pairs[key] for i in places[k]}
+                got = [(slot.get(i, -1), texts[i][0]) for i in within(texts, where)]
+                parts.append([{"slot": s, "digest": _digest(x), "text": x} for s, x in got])
+                keys.append(_digest("\0".join(x for _, x in got)))
+            kind = pa.list_(pa.struct([("slot", pa.int32()), ("digest", pa.int64()), ("text", pa.string())]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.int64()), pa.array(parts, kind)], [id_col, url_col, "host", "page", "parts"])
 
     kind, link = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
-    return told.mapInArrow(run, f"`{id_col}` {kind}, `{url_col}` {link}, text string, n_chars long")
+    return told.mapInArrow(run, f"`{id_col}` {kind}, `{url_col}` {link}, host string, page long, parts {PARTS}")
+
+
+def constants(rows: DataFrame, support: int) -> DataFrame:
+    """host and own: the (slot, digest) of the texts that all pages of the host have in their slot.
+
+    Pages count once for each different main text.
+    """
+    pages = rows.select("host", "page", F.array_distinct(F.transform(F.filter("parts", lambda x: x["slot"] >= 0), lambda x: F.struct(x["slot"].alias("slot"), x["digest"].alias("digest")))).alias("own"))
+    pages = pages.where(F.size("own") > 0).groupBy("host", "page").agg(F.first("own").alias("own"))
+    n_text = pages.select("host", F.explode("own").alias("o")).groupBy("host", "o.slot", "o.digest").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+    n_slot = pages.select("host", F.explode(F.array_distinct("own.slot")).alias("slot")).groupBy("host", "slot").agg(F.count("*").alias("n"))
+    return n_text.join(n_slot, ["host", "slot", "n"]).groupBy("host").agg(F.collect_list(F.struct("slot", "digest")).alias("own"))
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", support: int = 3, broadcast_bytes: int = 16_000_000, broadcast_rows: int = 50_000) -> DataFrame:
+    """id, url, text, n_chars of every page."""
+    found = workspace.materialize(wrappers(pages, url_col, html_col), "wrappers")
+    rows = workspace.materialize(matched(pages, found, id_col, url_col, html_col, broadcast_bytes), "matched")
+    own = workspace.materialize(constants(rows, support), "constants")
+    # hosts without a constant need no row; the others are sent to all executors only if they are few
+    few = (own.agg(F.sum(F.size("own"))).first()[0] or 0) <= broadcast_rows
+    told = rows.join(F.broadcast(own) if few else own, "host", "left")
+    varying = F.when(F.col("own").isNull(), F.col("parts")).otherwise(F.filter("parts", lambda x: ~F.array_contains("own", F.struct(x["slot"].alias("slot"), x["digest"].alias("digest")))))
+    left = F.when(F.size(varying) > 0, varying).otherwise(F.col("parts"))
+    out = told.select(F.col(id_col), F.col(url_col), F.array_join(F.transform(left, lambda x: x["text"]), " ").alias("text"))
+    return out.select(id_col, url_col, "text", F.length("text").cast("long").alias("n_chars"))

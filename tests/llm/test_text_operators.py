@@ -255,3 +255,19 @@ def test_html_body_keeps_text_that_begins_with_a_link():
     page = "<body><p><a href=x>Name</a> and the rest of a long paragraph</p><p> <a href=y>menu</a> <a href=z>item</a>\n</p><p>&nbsp;<a href=y>only</a></p><div>plain</div></body>"
     assert html_wrappers.main_text(page, "body") == "Name and the rest of a long paragraph plain"
     assert html_wrappers.main_text("<p><a>all</a> <a>links</a></p>", "body") == ""
+
+
+def test_html_template_text_is_no_content(spark):
+    def page(k):
+        body = "".join(f"<p>story {k} part {j}</p>" for j in range(1 + k % 3))
+        return f"<article><div class=kicker>The Daily Example</div><h1>Title {k}</h1>{body}<p>Read it in our printed edition</p></article>"
+
+    pages = [(k, "http://a.example/%d" % k, page(k)) for k in range(6)]
+    pages += [(10 + k, "http://copies.example/%d" % k, page(0)) for k in range(4)] + [(20 + k, "http://few.example/%d" % k, page(k)) for k in range(2)]
+    got = {r["page_id"]: r for r in html_wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    for k in range(6):
+        assert got[k]["text"] == " ".join([f"Title {k}", *(f"story {k} part {j}" for j in range(1 + k % 3))])
+        assert got[k]["n_chars"] == len(got[k]["text"])
+    # copies of one page and too few pages tell nothing
+    whole = "The Daily Example Title 0 story 0 part 0 Read it in our printed edition"
+    assert all(got[10 + k]["text"] == whole for k in range(4)) and got[20]["text"] == whole
