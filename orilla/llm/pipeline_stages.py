@@ -10,11 +10,11 @@ from orilla.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
 from orilla.shipping import ship
 
 
-def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.4) -> DataFrame:
-    """The documents that the classifier doesn't mark; it is fitted on sf_dir's labelled training rows."""
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier doesn't mark at its own threshold; it is fitted on sf_dir's labelled training rows."""
     ship(spark)
     model = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, threshold=threshold, carry=True).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, model, carry=True).where("predicted = 0").select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

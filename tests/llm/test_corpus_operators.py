@@ -207,3 +207,20 @@ def test_pipeline(spark, tmp_path):
     assert 301 not in ids["decontaminate"]
     packed = corpus_pipeline.run(spark, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(ids["decontaminate"])
+
+
+def test_toxicity_stage_takes_the_operators_verdict(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from orilla.llm import pipeline_stages, toxicity
+
+    # a model without dictionaries gives every text the score 0.35
+    model = toxicity.Model(b"\x00" * 8, b"\x00" * 8, (0.0,) * toxicity.N_FEATURES + (float(np.log(0.35 / 0.65)),))
+    monkeypatch.setattr(toxicity, "fit", lambda *_: model)
+    sf = str(tmp_path)
+    docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    docs.write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{sf}/labels.parquet")
+    marked = {r["doc_id"] for r in toxicity.score(docs, model).where("predicted = 1").collect()}
+    assert marked == {1, 2}
+    assert pipeline_stages.toxicity_stage(spark, docs, sf).count() == 0
