@@ -2,8 +2,9 @@
 
 Patterns find keyed assignments, access keys and long hexadecimal runs. Every
 other long run of letters, digits and ``+/_=-`` that mixes digits with letters
-is a candidate. Its encoding is inferred from its alphabet, and three tests ask
-whether it could be uniform random: chi-squared of its symbols, runs about the
+is a candidate; so is each part of 20 characters or more between its inner ``=``,
+and, where no alphabet fits, between ``+/`` or ``-_``. Its encoding is inferred from
+its alphabet, and three tests ask whether it could be uniform random: chi-squared of its symbols, runs about the
 alphabet's middle, and serial correlation. A candidate that passes them is still
 judged against ordinary identifiers: the p-value of its changes of character
 class under their change rate. False discoveries are controlled over the whole
@@ -34,7 +35,10 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
+LEAST = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+VALUE = re.compile(r"[^=]+(?:=+\Z)?")  # with the padding that ends a run
+INNER = (re.compile(r"[^+/]+"), re.compile(r"[^_-]+"))
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True
 _RUN = np.zeros(256, bool)
@@ -114,17 +118,32 @@ def change_p(s: str) -> float:
     return min(0.0, (top + math.log(sum(math.exp(x - top) for x in logs))) / math.log(10))
 
 
+def parts(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of what may be a value in a run: its parts between inner ``=``, and of a part that no
+    alphabet fits the parts between the separators that one alphabet or the other has, the longest first."""
+    for m in VALUE.finditer(text, start, end):
+        if m.end() - m.start() < LEAST:
+            continue
+        if encoding(m.group()):
+            yield m.start(), m.end()
+        else:
+            inner = {(x.start(), x.end()) for p in INNER for x in p.finditer(text, m.start(), m.end()) if x.end() - x.start() >= LEAST}
+            yield from sorted(inner, key=lambda x: (x[0] - x[1], x))
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]], alpha: float) -> list[tuple[int, int, int, int]]:
     """(start, end, band, bin) of the runs beside the pattern matches that pass the battery."""
     out = []
     for m in RUN.finditer(text):
-        s, a, z = m.group(), m.start(), m.end()
-        if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(a < e and b < z for b, _, e in taken):
-            continue
-        p = battery(s)
-        # three tests: each at a third of the level
-        if p and min(p.values()) * 3 >= alpha:
-            out.append((a, z, sum(len(s) >= x for x in BANDS), min(BINS - 1, int(-change_p(s) * 8))))
+        first = len(out)
+        for a, z in parts(text, m.start(), m.end()):
+            s = text[a:z]
+            if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(a < e and b < z for b, _, e in taken) or any(a < e and b < z for b, e, _, _ in out[first:]):
+                continue
+            p = battery(s)
+            # three tests: each at a third of the level
+            if p and min(p.values()) * 3 >= alpha:
+                out.append((a, z, sum(len(s) >= x for x in BANDS), min(BINS - 1, int(-change_p(s) * 8))))
     return out
 
 

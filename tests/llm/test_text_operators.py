@@ -271,3 +271,20 @@ def test_html_template_text_is_no_content(spark):
     # copies of one page and too few pages tell nothing
     whole = "The Daily Example Title 0 story 0 part 0 Read it in our printed edition"
     assert all(got[10 + k]["text"] == whole for k in range(4)) and got[20]["text"] == whole
+
+
+def test_secrets_within_a_run(spark):
+    rng = random.Random(12)
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n=40, more="": "".join(rng.choice(b62 + more) for _ in range(n))
+    makes = [lambda: ("AWS_SECRET_ACCESS_KEY=", key()), lambda: ("sig=", key(43, "+/") + "="), lambda: ("key=", key()), lambda: ("one=two&a=b=", key()), lambda: ("my-app/lib_x/", key()), lambda: ("a_b+c/", key(40, "-_"))]
+    pairs = [make() for make in makes for _ in range(10)]
+    texts = [f"set {a}{b} now" for a, b in pairs] + ["see report-2024/section_nineteen=department/international_2023"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(secret_scan.find_secrets(df))
+    found = [f"random:{4 + len(a)}:{4 + len(a) + len(b)}" in got[i]["spans"].split(",") for i, (a, b) in enumerate(pairs)]
+    for k in range(4):
+        assert sum(found[10 * k : 10 * k + 10]) >= 8, k
+    for k in (4, 5):  # the part between separators holds the key
+        assert sum(got[i]["n_random"] == 1 for i in range(10 * k, 10 * k + 10)) >= 8, k
+    assert got[len(pairs)]["n_random"] == 0
