@@ -1,12 +1,16 @@
 """Best-fit packing by bin completion (operator 8).
 
 Pieces of equal length are interchangeable, so the search runs on a histogram of
-lengths: at most ``capacity`` numbers, however many documents there are. The
-largest length left is completed by an undominated filling; fillings are
-enumerated by branch and bound on waste, with the best fit as first incumbent.
-A filling is used as often as the histogram allows, so a few thousand patterns
-describe all sequences. Pieces then find their place by their rank among those
-of equal length, which is counted in salted groups.
+lengths: at most ``capacity`` numbers, however many documents there are. A greedy
+completion and best fit give the first incumbent, whose fillings are used as often
+as the histogram allows, so a few thousand patterns describe all sequences. If it
+needs more sequences than the lower bound, bins are completed by branch and bound:
+the largest length left branches over its undominated fillings, least waste first,
+each as often as it can be used, half as often and once; a branch ends where its
+bound reaches the incumbent, or at a histogram that was seen with as few bins. The
+search is exact unless it stops at ``SEARCH`` nodes; ``gap`` gives what it may then
+have left. Pieces then find their place by their rank among those of equal length,
+which is counted in salted groups.
 
 Defined cases: a null or empty text is one piece of the end token alone. Rows
 that repeat are packed as often as they occur. An empty table gives no rows.
@@ -14,6 +18,9 @@ that repeat are packed as often as they occur. An empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import logging
 import zlib
 from collections.abc import Iterator
 
@@ -27,8 +34,13 @@ from pyspark.sql import Window
 from orilla.llm import pieces as units
 from orilla.llm import workspace
 
+log = logging.getLogger(__name__)
+
+# limits of the greedy completion, which only sets the incumbent
 NODES = 4000
 DEPTH = 4
+# nodes of the search over bins: far more than small tables need, some minutes where thousands of lengths stay open
+SEARCH = 20_000
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", keep_space: bool = False, lower: bool = True) -> DataFrame:
@@ -133,11 +145,9 @@ def best_fit(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return out
 
 
-def patterns(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
-    """(lengths, times) of the sequences: bin completion unless plain best fit needs fewer."""
+def greedy(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
+    """One completion of the largest length after the other: another incumbent."""
     left = count.copy()
-    total = int((count * np.arange(len(count))).sum())
-    least = -(-total // capacity)
     out: list[tuple[list[int], int]] = []
     for big in range(capacity, 0, -1):
         while left[big] > 0:
@@ -153,10 +163,151 @@ def patterns(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
             for x in items:
                 left[x] -= times - 1
             out.append((items, times))
-    if sum(n for _, n in out) > least:
-        plain = best_fit(count, capacity)
-        if sum(n for _, n in plain) < sum(n for _, n in out):
-            return plain
+    return out
+
+
+def lower_bound(count: np.ndarray, capacity: int) -> int:
+    """The least number of sequences: the total's, or that of the pieces that can't share one (Martello and Toth)."""
+    size = np.arange(len(count))
+    n, total = np.cumsum(count), np.cumsum(count * size)
+    half = capacity // 2
+    a = np.arange(half + 1)  # pieces under ``a`` are left aside
+    above = n[-1] - n[half]
+    mid_n, mid = n[capacity - a] - n[half], total[capacity - a] - total[half]
+    small = total[half] - np.where(a > 0, total[a - 1], 0)
+    more = -(-(small - (mid_n * capacity - mid)) // capacity)
+    return int(above + max(0, int(more.max())))
+
+
+def fillings(count: np.ndarray, room: int, waste: int) -> Iterator[list[int] | None]:
+    """The undominated fillings of ``room`` that leave at most ``waste``, least waste first; None for each dominated one."""
+    sizes = (np.flatnonzero(count[1 : room + 1]) + 1).tolist()
+    have = {x: int(min(count[x], room // x)) for x in sizes}
+    full = (1 << (room + 1)) - 1
+    reach = [1]  # bit s of reach[k]: the k smallest lengths can fill s
+    for x in sizes:
+        bits, left, step = reach[-1], have[x], 1
+        while left:
+            step = min(step, left)
+            bits |= (bits << (x * step)) & full
+            left -= step
+            step *= 2
+        reach.append(bits)
+
+    def exact(k: int, target: int) -> Iterator[list[int]]:
+        if not target:
+            yield []
+        while target and (reach[k] >> target) & 1:
+            x = sizes[k - 1]
+            for n in range(min(have[x], target // x), 0, -1):
+                if (reach[k - 1] >> (target - n * x)) & 1:
+                    for rest in exact(k - 1, target - n * x):
+                        yield [x] * n + rest
+            k -= 1
+
+    def dominated(items: list[int], left: int) -> bool:
+        """Does a piece that isn't used fit in the place of some of the items, or in what is left?"""
+        free = [x for x in sizes if have[x] > items.count(x)]
+        if not free:
+            return False
+        if free[0] <= left:
+            return True
+        at = np.array(free)
+        sums = {(sum(c), len(c)) for r in range(1, len(items) + 1 if len(items) <= 6 else 3) for c in itertools.combinations(items, r)}
+        for total, n in sums:
+            k = int(np.searchsorted(at, total + left, "right")) - 1
+            if k >= 0 and (at[k] > total or (at[k] == total and n > 1)):
+                return True
+        return False
+
+    for left in range(min(waste, room) + 1):
+        if (reach[-1] >> (room - left)) & 1:
+            for items in exact(len(sizes), room - left):
+                yield None if dominated(items, left) else items
+
+
+def branch(count: np.ndarray, capacity: int, best: int, least: int, nodes: int) -> tuple[list[tuple[list[int], int]] | None, bool]:
+    """Fewer than ``best`` sequences by branch and bound over bins, if there are any; and whether the search was whole."""
+    left = count.copy()
+    total = int((count * np.arange(len(count))).sum())
+    found: list[tuple[list[int], int]] | None = None
+    seen: dict[bytes, int] = {}
+
+    def children(used: int) -> Iterator[tuple[list[int], int] | None]:
+        big = int(np.flatnonzero(left)[-1])
+        left[big] -= 1
+        rest = int((left * np.arange(len(left))).sum()) + big
+        # the sequences yet allowed, less what they must hold
+        spare = (best - 1 - used) * capacity - rest
+        ways = fillings(left.copy(), capacity - big, spare) if spare >= 0 else iter(())
+        left[big] += 1
+        for more in ways:
+            if more is None:
+                yield None
+                continue
+            items = [big, *more]
+            most = int(min(left[x] // items.count(x) for x in set(items)))
+            for times in dict.fromkeys((most, -(-most // 2), 1)):
+                yield items, times
+
+    path: list[tuple[list[int], int]] = []
+    used = 0
+    stack = [children(0)] if total else []
+    visited = 0
+    while stack:
+        step = next(stack[-1], "end")
+        if step == "end":
+            stack.pop()
+            if path:
+                items, times = path.pop()
+                used -= times
+                for x in items:
+                    left[x] += times
+            continue
+        visited += 1
+        if visited > nodes:
+            return found, False
+        if step is None:
+            continue
+        items, times = step
+        for x in items:
+            left[x] -= times
+        used += times
+        if not left.any():
+            if used < best:
+                best, found = used, [*path, step]
+                if best <= least:
+                    return found, True
+        elif used + lower_bound(left, capacity) < best:
+            key = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
+            if seen.get(key, best) > used:
+                seen[key] = used
+                path.append(step)
+                stack.append(children(used))
+                continue
+        used -= times
+        for x in items:
+            left[x] += times
+    return found, True
+
+
+def solve(count: np.ndarray, capacity: int, nodes: int = SEARCH) -> tuple[list[tuple[list[int], int]], int]:
+    """(lengths, times) of the sequences, and the gap: 0 if no packing has fewer, else by how many one might."""
+    least = lower_bound(count, capacity)
+    size = lambda p: sum(n for _, n in p)
+    out = min((greedy(count, capacity), best_fit(count, capacity)), key=size)
+    if size(out) <= least:
+        return out, 0
+    fewer, whole = branch(count, capacity, size(out), least, nodes)
+    out = fewer or out
+    return out, 0 if whole else size(out) - least
+
+
+def patterns(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
+    """(lengths, times) of the sequences."""
+    out, gap = solve(count, capacity)
+    if gap:
+        log.warning("packing: the search stopped at %d nodes; a packing may have up to %d sequences fewer", SEARCH, gap)
     return out
 
 

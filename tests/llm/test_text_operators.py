@@ -288,3 +288,36 @@ def test_secrets_within_a_run(spark):
     for k in (4, 5):  # the part between separators holds the key
         assert sum(got[i]["n_random"] == 1 for i in range(10 * k, 10 * k + 10)) >= 8, k
     assert got[len(pairs)]["n_random"] == 0
+
+
+def test_packing_is_optimal():
+    """Perfectly packable sets: the search finds the packing that greedy fillings miss."""
+    import numpy as np
+
+    def histogram(lengths, capacity):
+        return np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+
+    n = lambda p: sum(t for _, t in p)
+    c = histogram([36, 28, 26, 25, 17, 15, 14, 10, 9], 60)
+    assert n(packing.greedy(c, 60)) == n(packing.best_fit(c, 60)) == 4 and n(packing.patterns(c, 60)) == 3
+    rng = random.Random(8)
+    for _ in range(300):
+        bins = rng.randrange(2, 7)
+        lengths = []
+        for _ in range(bins):
+            cuts = sorted(rng.sample(range(1, 60), rng.randrange(1, 5)))
+            lengths += [b - a for a, b in zip([0, *cuts], [*cuts, 60])]
+        c = histogram(lengths, 60)
+        out, gap = packing.solve(c, 60)
+        assert n(out) == bins and gap == 0
+        left = c.copy()
+        for items, times in out:
+            assert sum(items) <= 60
+            for x in items:
+                left[x] -= times
+        assert not left.any()
+    # a stopped search says how many sequences it may have left; a whole one that needs more than the bound has no gap
+    c = histogram([36, 28, 26, 25, 17, 15, 14, 10, 9], 60)
+    assert packing.solve(c, 60, nodes=1)[1] == 1
+    c = histogram([7, 7, 7, 7, 5, 5], 20)
+    assert n(packing.solve(c, 20)[0]) == 2 and packing.solve(histogram([7] * 5, 10), 10)[1] == 0
