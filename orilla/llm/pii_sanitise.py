@@ -3,11 +3,13 @@
 Only DataFrame and SQL functions are used. Patterns find e-mail and IP
 addresses, card and phone numbers. Then the corpus tells which other terms give
 a protected entity away: an entity is a value that was found, its information
-content is ``IC(e) = log2(N / n(e))``, and a term beside it discloses
+content is ``IC(e) = log2(N / n(e))``, and a term of its documents discloses
 ``PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t)))`` of it, all counts being over
 documents. Terms whose share ``PMI / IC`` exceeds a threshold are generalised to
-their class, and beyond a second threshold removed. Entities and pairs need a
-least support in different texts, so that copies of one text prove nothing.
+their class, and beyond a second threshold removed, wherever they occur in the
+entity's documents. Terms are whole words; one that a pattern's span touches with a
+letter is none. Entities and pairs need a least support in different texts, so that
+copies of one text prove nothing.
 
 Positions count code points. A pattern's matches and the pieces between them
 (``split``) give every start, without a Python worker.
@@ -31,11 +33,13 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 IP_OK = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+MARK = "\ufdd0"  # not a character of any text
+TERM = rf"(?<![\p{{L}}{MARK}])\p{{L}}{{3,}}+(?!{MARK})"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
-def _matches(text: Column, pattern: str, kind: int, base: Column | None = None) -> Column:
-    """The spans of a pattern's matches in ``text``, which stands at ``base`` in its document."""
+def _matches(text: Column, pattern: str, kind: int, base: Column | None = None, among: Column | None = None) -> Column:
+    """The spans of a pattern's matches in ``text``, which stands at ``base`` in its document; only those ``among`` some lower-case values."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     at = F.coalesce(base, F.lit(0)).cast("int") if base is not None else F.lit(0)
@@ -45,7 +49,7 @@ def _matches(text: Column, pattern: str, kind: int, base: Column | None = None)
         F.struct(at.alias("at"), none.alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(x["hit"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), F.lit(kind).alias("kind"), (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), x["hit"].alias("value"))))).alias("out"),
+            F.when(x["hit"].isNull() | (~F.array_contains(among, F.lower(x["hit"])) if among is not None else F.lit(False)), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), F.lit(kind).alias("kind"), (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), x["hit"].alias("value"))))).alias("out"),
         ),
         lambda acc: acc["out"],
     )
@@ -85,41 +89,39 @@ def _join(spans: Column, names: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(of, s["kind"]), s["start"], s["end"])), ",")
 
 
-def beside(text: Column, window: int) -> Column:
-    """For each base span its value, and the text up to ``window`` characters to either side of it, as far as the next span."""
+def masked(text: Column) -> Column:
+    """The text with the letters of its base spans replaced by a mark and their other characters by blanks: every place stays."""
 
-    def one(s: Column, i: Column) -> Column:
-        lo = F.greatest(s["start"] - window, F.when(i > 0, F.get("base", i - 1)["end"]).otherwise(0), F.lit(0))
-        hi = F.least(s["end"] + window, F.coalesce(F.get("base", i + 1)["start"], s["end"] + window))
-        left = F.when(lo < s["start"], F.substring(text, lo + 1, s["start"] - lo)).otherwise("")
-        right = F.when(hi > s["end"], F.substring(text, s["end"] + 1, hi - s["end"])).otherwise("")
-        return F.struct(F.lower(s["value"]).alias("entity"), F.array(F.struct(lo.alias("at"), left.alias("part")), F.struct(s["end"].alias("at"), right.alias("part"))).alias("sides"))
+    def step(acc: Column, s: Column) -> Column:
+        lo = F.greatest(acc["at"], s["start"])
+        cover = F.regexp_replace(F.regexp_replace(F.substring(text, lo + 1, F.greatest(s["end"] - lo, F.lit(0))), r"\p{L}", MARK), f"[^{MARK}]", " ")
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), cover).alias("out"))
 
-    return F.transform("base", one)
+    return F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """(row, text_key, entity, term, start, end) of the words beside an entity."""
-    near = found.select("row", "text_key", F.explode("beside").alias("b"))
-    sides = near.select("row", "text_key", "b.entity", F.explode("b.sides").alias("side"))
-    words = sides.select("row", "text_key", "entity", F.explode(_matches(F.col("side.part"), r"\p{L}{3,}+", 4, F.col("side.at"))).alias("w"))
-    return words.select("row", "text_key", "entity", F.lower("w.value").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-
-
-def disclosing(found: DataFrame, near: DataFrame, documents: DataFrame, support: int, generalise: float, remove: float, broadcast_rows: int = 200_000) -> DataFrame:
+def disclosing(found: DataFrame, documents: DataFrame, support: int, generalise: float, remove: float, broadcast_rows: int = 200_000) -> DataFrame:
     """(entity, term, share, removed) of the terms that give an entity away.
 
     Candidate pairs have the support; only their terms are counted over the corpus.
     The candidates' count is checked before they are broadcast; else both sides shuffle.
     """
     total = documents.agg(F.approx_count_distinct("text_key", 0.02).alias("n")).first()["n"] or 1
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("n_et")).where(F.col("n_et") >= support)
-    entities = found.where(F.size("base") > 0).select("text_key", F.explode(F.transform("base", lambda s: F.lower(s["value"]))).alias("entity"))
-    n_e = entities.groupBy("entity").agg(F.count_distinct("text_key").alias("n_e")).where(F.col("n_e") < total)
-    n_near = near.groupBy("term").agg(F.count_distinct("text_key").alias("n_near"))
-    # n_near bounds n_t from below, so a term beside too many texts can't reach the threshold
-    most = F.col("n_et") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - generalise))
-    pairs = workspace.materialize(pairs.join(n_e, "entity").join(n_near, "term").where(F.col("n_near") <= most), "pii_pairs")
+    entities = found.select("text_key", F.explode("entities").alias("entity")).distinct()
+    # n_e bounds n_et from above, so that rarer entities have no pair
+    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= support) & (F.col("n_e") < total))
+    held = workspace.materialize(entities.join(n_e, "entity"), "pii_entities")
+    reach = F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - generalise))
+    # a term of more texts than this can't reach the threshold with any of a text's entities
+    texts = held.groupBy("text_key").agg(F.max(F.col("n_e") * reach).alias("most"))
+    bag = F.array_distinct(F.regexp_extract_all(F.lower("masked"), F.lit(TERM), F.lit(0)))
+    bags = workspace.materialize(found.dropDuplicates(["text_key"]).join(texts, "text_key").select("text_key", "most", F.explode(bag).alias("term")), "pii_terms")
+    # n_near bounds n_t from below
+    n_near = bags.groupBy("term").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= support)
+    rare = bags.join(n_near, "term").where(F.col("n_near") <= F.col("most")).select("text_key", "term", "n_near")
+    pairs = held.join(rare, "text_key").where(F.col("n_near") <= F.col("n_e") * reach)
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near"))
+    pairs = workspace.materialize(pairs.where((F.col("n_et") >= support) & (F.col("n_near") <= F.col("n_et") * reach)), "pii_pairs")
     terms = pairs.select("term").distinct()
     n_terms = terms.count()
     if n_terms == 0:
@@ -133,7 +135,7 @@ def disclosing(found: DataFrame, near: DataFrame, documents: DataFrame, support:
     return rated.where(F.col("share") >= generalise).select("entity", "term", "share", (F.col("share") >= remove).alias("removed"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 60, support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """id, counts, and all spans: the patterns' and those of terms to generalise or remove.
 
     Columns: id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans.
@@ -141,14 +143,19 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     text = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     documents = text.select(F.xxhash64("text").alias("text_key"), "text")
     hit = text.withColumn("base", base_spans(F.col("text")))
-    # rows of one id and one text get the same spans, so their key may be shared
-    hit = hit.withColumn("text_key", F.xxhash64("text")).withColumn("row", F.struct(F.col(id_col).alias("id"), "text_key"))
-    slim = workspace.materialize(hit.select("row", "text_key", "base", beside(F.col("text"), window).alias("beside")), "pii")
-    near = contexts(slim)
-    told = disclosing(slim, near, documents, support, generalise, remove)
-    extra = near.join(told, ["entity", "term"]).groupBy("row").agg(F.collect_set(F.struct("start", F.when(F.col("removed"), 5).otherwise(4).alias("kind"), "end")).alias("terms"))
-    out = slim.join(extra, "row", "left")
+    hit = hit.withColumn("text_key", F.xxhash64("text"))
+    some = F.size("base") > 0
+    entities = F.array_distinct(F.transform("base", lambda s: F.lower(s["value"])))
+    slim = workspace.materialize(hit.select(F.col(id_col).alias("id"), "text_key", "base", F.when(some, entities).alias("entities"), F.when(some, masked(F.col("text"))).alias("masked")), "pii")
+    found = slim.where(F.col("masked").isNotNull())
+    told = disclosing(found, documents, support, generalise, remove)
+    # rows of one text get the same spans
+    each = found.dropDuplicates(["text_key"])
+    marked = each.select("text_key", F.explode("entities").alias("entity")).join(told, "entity").groupBy("text_key").agg(F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("mild"), F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("hard"))
+    both = F.concat(*(F.transform(_matches(F.col("masked"), TERM, k, among=F.col(c)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))) for k, c in ((4, "mild"), (5, "hard"))))
+    extra = each.join(marked, "text_key").select("text_key", both.alias("terms"))
+    out = slim.join(extra, "text_key", "left")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     terms = F.coalesce("terms", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
-    return out.select(F.col("row.id").alias(id_col), *(count(k).alias(f"n_{n}") for k, n in enumerate(KINDS)), F.size(terms).cast("long").alias("n_term"), F.sha2(_join(base, KINDS), 256).alias("base_sha256"), _join(F.array_sort(F.concat(base, terms)), (*KINDS, "generalise", "remove")).alias("spans"))
+    return out.select(F.col("id").alias(id_col), *(count(k).alias(f"n_{n}") for k, n in enumerate(KINDS)), F.size(terms).cast("long").alias("n_term"), F.sha2(_join(base, KINDS), 256).alias("base_sha256"), _join(F.array_sort(F.concat(base, terms)), (*KINDS, "generalise", "remove")).alias("spans"))

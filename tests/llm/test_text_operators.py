@@ -321,3 +321,19 @@ def test_packing_is_optimal():
     assert packing.solve(c, 60, nodes=1)[1] == 1
     c = histogram([7, 7, 7, 7, 5, 5], 20)
     assert n(packing.solve(c, 20)[0]) == 2 and packing.solve(histogram([7] * 5, 10), 10)[1] == 0
+
+
+def test_disclosing_terms_of_the_whole_document(spark):
+    far = "of things and " * 8
+    told = [(i, f"zanzibar {far} note {i} mail spy@secret.org éx.a@b.org about case {far} Zanzibar {far} zanzibarish zanzibar") for i in range(4)]
+    cut = [(5 + i, f"text {i} {'a' * 57} marrakesh xy joe@secret.org wherever {far}") for i in range(4)]
+    plain = [(20 + i, f"{far} number {i} text note mail about case xy wherever") for i in range(80)]
+    got = by_id(pii_sanitise.find_pii(spark.createDataFrame(told + cut + plain, "doc_id long, text string")))
+    for i, text in told:
+        spans = {tuple(map(int, s.split(":")[1:])) for s in got[i]["spans"].split(",")}
+        assert {m.span() for m in re.finditer(r"\b[Zz]anzibar\b", text)} <= spans and len(re.findall(r"\b[Zz]anzibar\b", text)) == 3
+    for i, text in told + cut:
+        words = {m.span() for m in re.finditer(r"[^\W\d_]{3,}", text)}
+        marks = [s.split(":") for s in got[i]["spans"].split(",")]
+        assert all((int(a), int(z)) in words for k, a, z in marks if k in ("generalise", "remove"))
+    assert all(got[20 + i]["n_term"] == 0 for i in range(80))
