@@ -38,6 +38,7 @@ from orilla.llm import textkernel as tk
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 GRAM = 4
+SUPPORT = 3  # toxic training texts that must share a telling n-gram, however many there are
 HEAD = b"1234567890 abcdefghijklmn"
 TAIL = b"\x01\x02\x03\x04\x05\x06\x07\x08"
 STEPS = (1, 2, 3, 4, 5)
@@ -155,7 +156,9 @@ def train(texts: list[bytes], toxic: list[bool], ordinary_size: int = 8192, toxi
         if not bad:
             bag = list(bag_of(t))
             common.update(bag)
-            plain += [b" ".join(bag[i : i + 8]) for i in range(0, len(bag), 8)][:each]
+            groups = [b" ".join(bag[i : i + 8]) for i in range(0, len(bag), 8)]
+            # where a text has more than its share, windows from all over it
+            plain += [groups[i * len(groups) // each] for i in range(each)] if len(groups) > each else groups
     grams = lambda w: {w[i : i + GRAM] for i in range(len(w) - GRAM + 1)}
     usual: set[bytes] = set()
     for w in common:
@@ -166,7 +169,7 @@ def train(texts: list[bytes], toxic: list[bool], ordinary_size: int = 8192, toxi
     del common
     for bag in fresh:
         df.update(set().union(*(grams(w) for w in bag)) - usual if bag else ())
-    telling = {g for g, n in df.items() if n >= max(3, len(own) // 60)}
+    telling = {g for g, n in df.items() if n >= SUPPORT}
     residue = []
     for bag in fresh:
         runs = []
@@ -182,9 +185,14 @@ def train(texts: list[bytes], toxic: list[bool], ordinary_size: int = 8192, toxi
     model = Model(base, _trained(toxic_size, residue, 16, 6) + base, ()) if residue else Model(base, base, ())
     gains = Gains(model.ordinary, model.toxic)
     x = np.zeros((len(texts), N_FEATURES))
-    for k in range(0, len(texts), 500):
-        data, offsets = tk.utf8(pa.array(texts[k : k + 500], pa.binary()))
-        x[k : k + 500] = features(*gains.rows(data, offsets), len(offsets) - 1)
+    ends = np.cumsum([len(t) for t in texts])
+    k = 0
+    while k < len(texts):
+        # about 4 MB at a time, one text at least
+        z = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 4_000_000, "right")))
+        data, offsets = tk.utf8(pa.array(texts[k:z], pa.binary()))
+        x[k:z] = features(*gains.rows(data, offsets), len(offsets) - 1)
+        k = z
     return Model(model.ordinary, model.toxic, tuple(_logistic(x, np.array(toxic, float))))
 
 
@@ -193,17 +201,17 @@ def held_out(doc_id):  # noqa: ANN001, ANN201
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_toxic: int = 2000, n_ordinary: int = 6000, text_bytes: int = 15_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_toxic: int = 3000, n_ordinary: int = 12_000) -> Model:
     """A model from a bounded sample of labelled rows.
 
     At most ``n_toxic`` and ``n_ordinary`` rows that are not held out, by the order
-    of a hash of their ids, each with at most ``text_bytes`` characters, are learnt from.
+    of a hash of their ids, are learnt from, each with its whole text.
     """
     rated = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col(id_col), F.lit(17))
     pick = rated.where("toxic = 1").orderBy(order, id_col).limit(n_toxic).unionByName(rated.where("toxic = 0").orderBy(order, id_col).limit(n_ordinary))
     # at most n_toxic + n_ordinary rows: a bounded broadcast, and one bounded task that learns
-    rows = docs.select(id_col, F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, text_bytes).alias("text")).join(F.broadcast(pick), id_col).select("text", "toxic").dropDuplicates()
+    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(pick), id_col).select("text", "toxic").dropDuplicates()
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = sorted({(t, y) for b in batches for t, y in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist())})

@@ -337,3 +337,27 @@ def test_disclosing_terms_of_the_whole_document(spark):
         marks = [s.split(":") for s in got[i]["spans"].split(",")]
         assert all((int(a), int(z)) in words for k, a, z in marks if k in ("generalise", "remove"))
     assert all(got[20 + i]["n_term"] == 0 for i in range(80))
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(4)
+    syl = ["an", "the", "re", "on", "in", "sh", "ou", "ti"]
+    words = lambda n: " ".join("".join(rng.choice(syl) for _ in range(rng.randrange(1, 5))) for _ in range(n))
+    rows = [(i, words(4000) + " qwazzle vexxum" if i % 8 == 0 else words(60)) for i in range(240)]
+    assert min(len(t) for i, t in rows if i % 8 == 0) > 15_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 8 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert b"qwazzle" in model.toxic and b"qwazzle" not in model.ordinary
+
+
+def test_toxicity_windows_and_support(monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "_trained", lambda size, samples, k, d: seen.append(samples) or b"".join(samples)[-size:])
+    plain = [" ".join(f"w{i}x{j}" for j in range(400)).encode() for i in range(40)]
+    bad = [b"w1x1 w1x2 " + (b"qwazzle" if i < 4 else b"w1x3") + b" w1x%d" % (i % 400) for i in range(400)]
+    toxicity.train(plain + bad, [False] * 40 + [True] * 400, windows=400)
+    ordinary, residue = seen
+    # ten windows of each text, from its beginning to its end
+    assert len(ordinary) == 400 and any(b"w0x390" in w or b"w0x36" in w for w in ordinary)
+    # four of 400 texts are enough, as they are of 40
+    assert any(b"qwazzle" in r for r in residue)
