@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from orilla.llm import components, decontaminate, line_dedup, ngram_join
 
@@ -148,10 +149,75 @@ def test_tiles_are_greedy():
 
 def test_patience():
     a, b = [1, 2, 3, 9, 4, 5, 9], [7, 1, 2, 3, 9, 8, 4, 5]
-    got = sorted(line_dedup.patience(a, b))
-    assert got == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 6), (5, 7)]
-    assert sorted(line_dedup.common_places([4, 5, 1, 2], [1, 2, 4, 5])) == [0, 1, 2, 3]
-    assert line_dedup.common_places([], [1]) == [] and line_dedup.common_places([1, 1, 1], [1]) == [0]
+    assert line_dedup.patience(a, b) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 6), (5, 7)]
+    assert line_dedup.patience([], [1]) == [] and line_dedup.patience([1, 1, 1], [1]) == [(0, 0)]
+    # no line occurs once: each with the next equal one
+    assert line_dedup.patience([1, 2, 1, 2], [3, 2, 1, 2, 1, 3]) == [(0, 2), (1, 3), (2, 4)]
+
+
+def test_aligned_blocks():
+    ten = [10] * 8
+    assert line_dedup.aligned_blocks([4, 5, 6, 1, 2, 3], [1, 2, 3, 4, 5, 6], ten, 30) == [(0, 3), (3, 6)]  # moved
+    assert line_dedup.aligned_blocks([4, 3, 2, 1], [1, 2, 3, 4], ten, 30) == []  # reversed
+    assert line_dedup.aligned_blocks([1, 2, 9, 3], [1, 2, 3], ten, 30) == []  # parted
+    assert line_dedup.aligned_blocks([1, 2, 3, 1, 2, 3], [1, 2, 3], ten, 30) == [(0, 3), (3, 6)]  # twice
+
+
+def _contained(texts, min_words):
+    """Which lines stand in a block that one earlier document has: brute force over all pairs."""
+    words = lambda x: len(re.findall(r"[^\x20\x09-\x0D]+", x))
+    solid = [[(i, x, words(x)) for i, x in enumerate(t.split("\n")) if words(x)] for t in texts]
+    out = []
+    for d, own in enumerate(solid):
+        lost = set()
+        for e in solid[:d]:
+            for i in range(len(own)):
+                for j in range(len(e)):
+                    n = total = 0
+                    while i + n < len(own) and j + n < len(e) and own[i + n][1] == e[j + n][1]:
+                        total += own[i + n][2]
+                        n += 1
+                    if total >= min_words:
+                        lost |= {own[i + k][0] for k in range(n)}
+        out.append(lost)
+    return out
+
+
+def test_line_dedup_against_brute_force(spark):
+    rng = random.Random(23)
+    pool = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([3, 8, 12, 15, 31]))) for _ in range(60)]
+    texts = []
+    for _ in range(120):
+        lines = []
+        for _ in range(rng.randrange(1, 5)):
+            a = rng.randrange(len(pool) - 6)
+            lines += pool[a : a + rng.randrange(1, 7)]
+            lines += rng.choice([[], [""], [f"own {rng.random()}"]])
+        texts.append("\n".join(lines))
+    passage = "\n".join(" ".join(f"p{i}{j}" for j in range(12)) for i in range(6))
+    lines = passage.split("\n")
+    texts += [passage, "\n".join(lines[::-1]), "\n".join(["a " + passage.split("\n")[0], *lines[3:], *lines[:3]])]
+    # stitched: three lines of 12 words, each from another document
+    single = [" ".join(f"q{i}{j}" for j in range(12)) for i in range(3)]
+    texts += [*(x + f"\nonly here {i}" for i, x in enumerate(single)), "\n".join(single)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = _contained(texts, 30)
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    missed = []
+    for d, t in enumerate(texts):
+        all_lines = t.split("\n")
+        stay = "\n".join(x for i, x in enumerate(all_lines) if i not in want[d])
+        left = [x for x in got[d]["text"].split("\n") if x]
+        # nothing goes that no earlier document holds as a block
+        need = [x for x in stay.split("\n") if x]
+        it = iter(left)
+        assert all(any(x == y for y in it) for x in need), d
+        if left != need:
+            missed.append(d)
+    # what is left of a block that overlaps an aligned one may be too short to be a block itself
+    assert len(missed) <= len(texts) // 20
+    assert got[121]["text"] == texts[121] and got[126]["text"] == texts[126]
+    assert got[122]["n_removed_words"] >= 60
 
 
 def test_line_dedup(spark):
@@ -161,15 +227,27 @@ def test_line_dedup(spark):
     short = line(5)
     rows = [(0, "\n".join([line(10), *passage, line(9), short])), (1, "\n".join([line(12), short])), (2, "\n".join([*passage, line(3), short]))]
     rows += [(3, rows[0][1]), (4, None), (5, ""), (6, "\n\n"), (7, "\n".join([passage[2], "x", passage[0]]))]
-    df = spark.createDataFrame([(*r, len(r[1] or ""), "s") for r in [*rows, rows[1], (None, rows[1][1])]], "doc_id long, text string, n_removed_words long, source string").drop("n_removed_words").repartition(3)
+    shape = "doc_id long, text string, n_removed_words long, key string, cls string, lost string, lines string"
+    df = spark.createDataFrame([(*r, len(r[1] or ""), "s", "t", "u", "v") for r in [*rows, rows[1], (None, rows[1][1])]], shape).repartition(3)
     out = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
     text = dict(rows)
-    assert out[0]["text"] == text[0] and out[1]["text"] == text[1]
+    assert out[0]["text"] == text[0] and out[1]["text"] == text[1] and out[1]["key"] == "s"
     assert out[2]["text"] == "\n".join(text[2].split("\n")[3:]) and out[2]["n_removed_words"] == 75
     assert out[3]["text"] == "" and (out[4]["text"], out[5]["text"], out[6]["text"]) == (None, "", "\n\n")
-    assert out[7]["text"] == "\n".join([passage[2], "x"])
+    # its last line follows no other line of the passage and has over 30 words; the first has 20
+    assert out[7]["text"] == "\n".join([passage[2], "x"]) and out[0]["n_removed_words"] == 0
     assert line_dedup.dedup_lines(df).count() == len(rows) + 2
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+    named = df.select(F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id"), "text")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(named).collect()}["d2"] == out[2]["text"]
+
+
+def test_line_dedup_very_long_text(spark):
+    """Many equal lines, and lines that repeat in both: no quadratic work."""
+    long = "\n".join(f"line {i % 7} of a very long text with a few words more" for i in range(60_000))
+    df = spark.createDataFrame([(1, long), (2, long + "\nx"), (3, "x\n" + long[100:])], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert out[1] == long and out[2] == "x" and len(out[3]) < 200
 
 
 def test_pipeline(spark, tmp_path):
