@@ -1,6 +1,7 @@
 """Operators that look at one text at a time, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -361,3 +362,49 @@ def test_toxicity_windows_and_support(monkeypatch):
     assert len(ordinary) == 400 and any(b"w0x390" in w or b"w0x36" in w for w in ordinary)
     # four of 400 texts are enough, as they are of 40
     assert any(b"qwazzle" in r for r in residue)
+
+
+def test_battery_is_uniform_on_random_strings_and_orders_candidates(spark):
+    """The tests' p-values against brute force on single strings, and what the false-discovery control finds."""
+    rng = random.Random(31)
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(20):
+        s = "".join(rng.choice(b62) for _ in range(rng.choice([20, 33, 64])))
+        p = secret_scan.battery(s)
+        v = [b62.index(c) for c in s]
+        if secret_scan.encoding(s)[0] != "base62":
+            continue
+        n = len(v)
+        chi = sum((v.count(k) - n / 62) ** 2 for k in range(62)) / (n / 62)
+        z = ((chi / 61) ** (1 / 3) - (1 - 2 / (9 * 61))) / math.sqrt(2 / (9 * 61))
+        assert p["chi2"] == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), abs=0.02)
+        mean = sum(v) / n
+        r = sum((a - mean) * (b - mean) for a, b in zip(v, v[1:])) / sum((a - mean) ** 2 for a in v)
+        assert p["serial"] == pytest.approx(math.erfc(abs(r + 1 / n) * math.sqrt(n / 2)), abs=0.02)
+        assert p["fisher"] == pytest.approx(-2 * sum(math.log(p[k]) for k in ("chi2", "runs", "serial")), abs=1e-6)
+    shares = [secret_scan.battery("".join(rng.choice(b62) for _ in range(40)))["chi2"] < 0.1 for _ in range(400)]
+    assert 0.04 < sum(shares) / 400 < 0.18
+    # ordinary identifiers with digits are candidates of the pattern, but none is found
+    words = secret_scan._WORDS
+    names = ["".join(rng.choice(words) for _ in range(5)) + str(rng.randrange(100)) for _ in range(300)]
+    keys = ["".join(rng.choice(b62) for _ in range(40)) for _ in range(50)]
+    got = by_id(secret_scan.find_secrets(table(spark, [f"use {x} here" for x in names + keys])))
+    assert sum(got[i]["n_random"] for i in range(300)) <= 2
+    assert sum(got[300 + i]["n_random"] for i in range(50)) >= 40
+
+
+def test_secret_scan_long_runs():
+    import time
+
+    import numpy as np
+
+    from orilla.llm import textkernel as tk
+
+    t = time.time()
+    text = "ab1f" * 300_000
+    data, offsets = tk.utf8(pa.array([text, "none", text[:30]]))
+    assert secret_scan.suspects(data, offsets).tolist() == [0, 2]
+    secret_scan.candidates(text, secret_scan.base_spans(text), 0.001)
+    secret_scan.candidates("=".join(["Zb1_-f+/" * 4] * 20_000), [], 0.001)
+    assert time.time() - t < 10
+    assert secret_scan.ordinary(np.zeros(0, np.uint8)).sum() == 0
