@@ -15,7 +15,8 @@ The set whose prefix ends first finds its signature in the other's prefix.
 Candidates are verified on whole sets, after an exact upper bound from
 histograms of token hashes. Classes of one signature are first compared with one
 of them, then with their likeliest partners, then with all others, each time only
-across components, as what is linked by then needs no further comparison. Large
+across components, as what is linked by then needs no further comparison. All joins
+are merge joins at every size: broadcasts on small inputs alone would hide what they move. Large
 groups are compared block by block inside tasks, which give out only the pairs
 that the bound allows. No candidate is dropped.
 
@@ -182,11 +183,12 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     """The pairs (x, y) of classes that link."""
     one = classes.select("c", "n", "hist", "id", "text_key")
     a, b = one.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("hist").alias("hx")), one.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("hist").alias("hy"))
-    sized = pairs.join(a, "x").join(b, "y").where((F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
+    sized = pairs.join(a.hint("merge"), "x").join(b.hint("merge"), "y").where((F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
     likely = workspace.materialize(sized.mapInArrow(_bounded(percent), "x long, y long"), "likely")
     ends = likely.select(F.col("x").alias("c")).union(likely.select(F.col("y").alias("c"))).distinct()
-    sets = workspace.materialize(_tokens_of(docs, one.join(ends, "c", "left_semi").select("c", "id", "text_key"), id_col, text_col, width), "tokens")
-    full = likely.join(sets.select(F.col("c").alias("x"), F.col("tokens").alias("tx")), "x").join(sets.select(F.col("c").alias("y"), F.col("tokens").alias("ty")), "y")
+    sets = workspace.materialize(_tokens_of(docs, one.join(ends.hint("merge"), "c", "left_semi").select("c", "id", "text_key"), id_col, text_col, width), "tokens")
+    full = likely.join(sets.select(F.col("c").alias("x"), F.col("tokens").alias("tx")).hint("merge"), "x")
+    full = full.join(sets.select(F.col("c").alias("y"), F.col("tokens").alias("ty")).hint("merge"), "y")
     return workspace.materialize(full.mapInArrow(_verified(percent), "x long, y long"), "links")
 
 
@@ -259,10 +261,10 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent:
     size, and every two blocks meet in a task of their own. With ``most``, only the
     likeliest partners of each class come out; the call without it gives all the rest.
     """
-    named = shared.join(root.select(F.col("u").alias("c"), F.col("v").alias("root")), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    named = shared.join(root.select(F.col("u").alias("c"), F.col("v").alias("root")).hint("merge"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     member = workspace.materialize(named.groupBy("hub", "c", "root").agg(F.collect_list("sig").alias("sigs")), "open")
     size = member.groupBy("hub").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("hub", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    placed = member.join(size, "hub").join(classes.select("c", "n", "hist"), "c").withColumn("block", F.pmod(F.xxhash64("c", F.lit(5)), F.col("blocks")).cast("int"))
+    placed = member.join(size.hint("merge"), "hub").join(classes.select("c", "n", "hist").hint("merge"), "c").withColumn("block", F.pmod(F.xxhash64("c", F.lit(5)), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "root", "n", "sigs", "hist")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,22 +285,21 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
     often = frequent_tokens(docs, text_col, width, frequent, least)
     rows = workspace.materialize(_index(docs, id_col, text_col, width, percent, often), "sets")
     full = rows.where("n > 0")
-    key = F.struct(F.col("id").isNull().alias("none"), "id", "text_key")
-    ids = full.groupBy("set_id").agg(F.min(key).alias("k")).select("set_id", "k.id", "k.text_key")
-    pick = full.select("set_id", F.col("id").alias("_id"), F.col("text_key").alias("_key"), "n", "sigs", "hist")
-    firsts = pick.join(ids, "set_id").where(F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("text_key"))).select("set_id", "id", "text_key", "n", "sigs", "hist").dropDuplicates(["set_id"])
+    # the first row of each set, with all that the join needs of it, in one shuffle
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n", "sigs", "hist"))
+    firsts = full.groupBy("set_id").agg(first.alias("k")).select("set_id", "k.id", "k.text_key", "k.n", "k.sigs", "k.hist")
     # 64 bits name a class in the index; classes that share them are compared like any others
     classes = workspace.materialize(firsts.withColumn("c", F.xxhash64("set_id")), "classes")
     index = classes.select("c", F.explode("sigs").alias("sig"))
     hubs = index.groupBy("sig").agg(F.min("c").alias("hub"), F.max("c").alias("far")).where("hub <> far").select("sig", "hub")
-    shared = workspace.materialize(index.join(hubs, "sig").select("sig", "c", "hub"), "shared")
+    shared = workspace.materialize(index.join(hubs.hint("merge"), "sig").select("sig", "c", "hub"), "shared")
     links = tried = None
     root = shared.sparkSession.createDataFrame([], "u long, v long")
     for most in (0, partners, None):
         if most == 0:
             pairs = shared.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct()
         else:
-            pairs = _open_pairs(shared, classes, root, percent, most).join(tried, ["x", "y"], "left_anti")
+            pairs = _open_pairs(shared, classes, root, percent, most).join(tried.hint("merge"), ["x", "y"], "left_anti")
         pairs = workspace.materialize(pairs, "pairs")
         if links is not None and pairs.isEmpty():
             continue
@@ -308,10 +309,10 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
         links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
     root = root.select(F.col("u").alias("c"), F.col("v").alias("root"))
     degree = links.select(F.col("x").alias("c")).union(links.select(F.col("y").alias("c"))).groupBy("c").agg(F.count("*").alias("n_links"))
-    member = classes.select("set_id", "c", "id").join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    member = classes.select("set_id", "c", "id").join(root.hint("merge"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least_id = member.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_set = workspace.materialize(member.join(least_id, "root").join(degree, "c", "left").select("set_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "groups")
-    out = rows.select("id", "text_key", "n", "set_id").join(of_set, "set_id", "left")
+    of_set = workspace.materialize(member.join(least_id.hint("merge"), "root").join(degree.hint("merge"), "c", "left").select("set_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "groups")
+    out = rows.select("id", "text_key", "n", "set_id").join(of_set.hint("merge"), "set_id", "left")
     return out.select(F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
