@@ -147,6 +147,72 @@ def test_tiles_are_greedy():
     assert sorted(tiles) == [(0, 10, 8), (8, 21, 12), (20, 0, 10)]
 
 
+def _tiles(item, doc, least):
+    """Greedy string tiling, word by word."""
+    used_i, used_d, out = set(), set(), []
+    while True:
+        best = []
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and i + n not in used_i and j + n not in used_d:
+                    n += 1
+                if n >= least:
+                    best.append((-n, i, j))
+        if not best:
+            return out
+        n = -min(best)[0]
+        for m, i, j in sorted(best):
+            if -m == n and not used_i & set(range(i, i + n)) and not used_d & set(range(j, j + n)):
+                used_i |= set(range(i, i + n))
+                used_d |= set(range(j, j + n))
+                out.append((i, j, n))
+
+
+def test_tiles_against_brute_force():
+    import numpy as np
+
+    rng = random.Random(3)
+    for _ in range(150):
+        k = rng.choice([2, 4, 30])
+        item, doc = ([rng.randrange(1, k + 1) for _ in range(rng.randrange(0, 40))] for _ in range(2))
+        least = rng.randrange(1, 5)
+        got = decontaminate.tile(np.array(item, np.uint64), np.array(doc, np.uint64), least)
+        assert got == _tiles(item, doc, least), (item, doc, least)
+
+
+def test_leaks_against_brute_force(spark):
+    rng = random.Random(8)
+    vocabulary = [f"t{i}" for i in range(40)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [words(rng.randrange(0, 30)) for _ in range(12)] + [["one", "word"], ["same"] * 20]
+    docs = []
+    for _ in range(60):
+        d = words(rng.randrange(0, 20))
+        for _ in range(rng.randrange(0, 4)):
+            x = rng.choice(items)
+            a = rng.randrange(len(x) + 1)
+            d += x[a : a + rng.randrange(30)] + words(rng.randrange(3))
+        docs.append(d)
+    docs.append(["same"] * 300_000)
+    want = set()
+    for r, d in enumerate(docs[:-1]):
+        for i, x in enumerate(items):
+            if len(x) >= 3:
+                tiles = _tiles(x, d, min(5, len(x)))
+                covered = sum(n for *_, n in tiles)
+                if covered >= 0.5 * len(x):
+                    want.add((f"d{r}", f"i{i}", len(x), covered, len(tiles)))
+    want.add(("d60", "i13", 20, 20, 1))
+    d = spark.createDataFrame([(f"d{r}", ", ".join(x).title()) for r, x in enumerate(docs)], "doc_id string, text string").repartition(4)
+    b = spark.createDataFrame([(f"i{i}", " ".join(x)) for i, x in enumerate(items)], "item_id string, text string")
+    out = decontaminate.leaks(d, b)
+    assert {(r["doc_id"], r["item_id"], r["item_words"], r["covered_words"], r["n_tiles"]) for r in out.collect()} == want and len(want) > 20
+    assert decontaminate.clean(d, b).count() == len(docs) - len({x[0] for x in want})
+    two = decontaminate.leaks(spark.createDataFrame([(1, "some one, word here")], "doc_id long, text string"), b, least_words=1)
+    assert [r["item_id"] for r in two.collect()] == ["i12"]
+
+
 def test_patience():
     a, b = [1, 2, 3, 9, 4, 5, 9], [7, 1, 2, 3, 9, 8, 4, 5]
     assert line_dedup.patience(a, b) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 6), (5, 7)]
