@@ -39,7 +39,9 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    # a folder that lasts is given by the session; without one the cache starts empty
+    cache = spark.conf.get("spark.orilla.tokenCache", None)
+    return token_counts.count_tokens(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), cache)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
