@@ -16,11 +16,14 @@ def box(x: Column, y: Column, w: Column, h: Column) -> Column:
     return F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), w.cast("int").alias("w"), h.cast("int").alias("h"))
 
 
+# fixed values: named ratios, first match wins
+RATIOS = ((0.75, "3:4 (Retrato Cédula)"), (1.0, "1:1 (Cuadrado)"), (0.8, "4:5 (Foto Estudio)"), (1.33, "4:3 (Paisaje)"))
+
+
 def ratio_label(width: Column, height: Column) -> Column:
-    """The named aspect ratio within 0.05, first match wins."""
-    r = width / height
-    out = F.when(F.abs(r - 0.75) <= 0.05, "3:4 (Carnet)").when(F.abs(r - 1.0) <= 0.05, "1:1 (Cuadrado)").when(F.abs(r - 0.8) <= 0.05, "4:5 (Retrato)").when(F.abs(r - 1.33) <= 0.05, "4:3 (Apaisado)")
-    return out.otherwise(F.concat_ws(" ", F.concat_ws(":", width.cast("int"), height.cast("int")), F.lit("(Otro)")))
+    """The name of the first ratio that is less than 0.05 away, else width and height."""
+    near = F.filter(F.array(*(F.struct(F.lit(r).alias("r"), F.lit(n).alias("n")) for r, n in RATIOS)), lambda x: F.abs(width / height - x["r"]) < 0.05)
+    return F.coalesce(F.get(near, F.lit(0))["n"], F.concat(width.cast("int").cast("string"), F.lit(":"), height.cast("int").cast("string"), F.lit(" (Otro)")))
 
 
 def fit_ratio(b: Column, rw: float, rh: float, inside: Column, face: Column | None = None) -> Column:

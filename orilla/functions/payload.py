@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: magic numbers of the known image formats (hex of the first bytes)
-MAGIC = (("FFD8FF", ".jpg"), ("89504E47", ".png"), ("474946", ".gif"), ("424D", ".bmp"), ("49492A00", ".tiff"), ("4D4D002A", ".tiff"))
+MAGIC = (("FFD8FF", ".jpg"), ("89504E470D0A1A0A", ".png"), ("474946", ".gif"), ("424D", ".bmp"), ("49492A00", ".tiff"), ("4D4D002A", ".tiff"))
 EXTENSIONS = (".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tif", ".tiff")
 
 
@@ -97,16 +97,20 @@ def delivery_name(rank: Column, ident: Column, ext: Column) -> Column:
 
 
 def duration(seconds: Column) -> Column:
-    """``MMm SSs``, or with hours ``HHh MMm SSs``."""
-    s = F.greatest(F.floor(seconds), F.lit(0)).cast("long")
+    """``MMm SSs``, or with hours ``HHh MMm SSs``, of whole seconds, halves to even."""
+    s = F.greatest(F.bround(seconds), F.lit(0)).cast("long")
     h, m, r = F.floor(s / 3600).cast("int"), F.floor(s % 3600 / 60).cast("int"), (s % 60).cast("int")
     return F.when(h > 0, F.format_string("%02dh %02dm %02ds", h, m, r)).otherwise(F.format_string("%02dm %02ds", m, r))
 
 
+def split_fragments(cells: Column, at: int) -> Column:
+    """How many cells after cell ``at`` belong to its data-URL, which was split at its commas."""
+    after = F.slice(cells, at + 2, F.greatest(F.size(cells) - at - 1, F.lit(0)))
+    stop = F.array_position(F.transform(after, lambda x: F.coalesce(x.rlike("^[A-Za-z0-9+/=_-]{16,}$"), F.lit(False))), False)
+    n = F.when(stop > 0, stop - 1).otherwise(F.size(after))
+    return F.when(F.get(cells, F.lit(at)).rlike("^data:image/.*;base64$"), n).otherwise(0).cast("int")
+
+
 def repair_split_cells(cells: Column, at: int) -> Column:
     """Rejoins a data-URL that was split at its commas: cell ``at`` and the base64-like cells after it."""
-    start = F.struct(F.get(cells, F.lit(at)).alias("text"), F.lit(True).alias("go"))
-    step = lambda acc, x: F.struct(F.when(acc["go"] & x.rlike("^[A-Za-z0-9+/=_-]{16,}$"), F.concat(acc["text"], F.lit(","), x)).otherwise(acc["text"]).alias("text"), (acc["go"] & x.rlike("^[A-Za-z0-9+/=_-]{16,}$")).alias("go"))
-    whole = F.aggregate(F.slice(cells, at + 2, F.greatest(F.size(cells) - at - 1, F.lit(0))), start, step, lambda acc: acc["text"])
-    first = F.get(cells, F.lit(at))
-    return F.when(first.rlike("^data:image/.*;base64$"), whole).otherwise(first)
+    return F.when(F.get(cells, F.lit(at)).isNotNull(), F.array_join(F.slice(cells, F.lit(at + 1), split_fragments(cells, at) + 1), ","))

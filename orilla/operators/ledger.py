@@ -64,6 +64,19 @@ def progress(done: int, this_run: int, total: int, seconds: float) -> dict:
     return {"total_files": total, "total_completed": done, "processed_this_run": this_run, "percent": round(100 * done / total, 2) if total else 100.0, "speed_fps": round(speed, 3), "eta_seconds": int(left / speed) if speed else 0}
 
 
+def running(records: DataFrame, lot: str, at: str) -> DataFrame:
+    """Per lot and time the number of records, how many are done by then, and the percentage.
+
+    Records are counted before the window, which sees one row for each time.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(lot)
+    done = F.sum("n").over(w.orderBy(at))
+    counted = records.groupBy(lot, at).agg(F.count("*").alias("n"))
+    return counted.select(lot, at, "n", done.alias("done"), F.round(100.0 * done / F.sum("n").over(w), 2).alias("percent"))
+
+
 def numbered(records: DataFrame, name: str, order: tuple[str, ...]) -> DataFrame:
     """Duplicate names get a running suffix: name, name_1, name_2, ..."""
     from pyspark.sql import Window

@@ -76,43 +76,52 @@ def leading(flags: np.ndarray) -> int:
     return int(len(flags) if flags.all() else np.argmin(flags))
 
 
-def regions(mask: np.ndarray) -> np.ndarray:
-    """(x, y, w, h) of the 8-connected regions whose box has enough cells, by (y, x).
+def contacts(mask: np.ndarray, corners: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The horizontal runs (y, first x, last x) of a mask, and the pairs (above, below) of runs that touch.
 
-    Labels spread over horizontal runs: each run takes the least label of the runs it
-    touches in the lines beside it, until nothing changes, with pointer jumping.
+    Runs are in reading order, so those that a run touches above are a contiguous range: a band
+    join of neighbouring lines inside the row.
     """
     edge = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     y, x0 = np.nonzero(edge == 1)
     x1 = np.nonzero(edge == -1)[1] - 1
-    n = len(y)
-    if not n:
-        return np.zeros((0, 4), np.int64)
-    width = mask.shape[1] + 2
-    # runs are in reading order, so those that a run touches above are a contiguous range
-    lo = np.searchsorted(y * width + x1, (y - 1) * width + x0 - 1, "left")
-    hi = np.searchsorted(y * width + x0, (y - 1) * width + x1 + 1, "right")
+    width, reach = mask.shape[1] + 2, int(corners)
+    lo = np.searchsorted(y * width + x1, (y - 1) * width + x0 - reach, "left")
+    hi = np.searchsorted(y * width + x0, (y - 1) * width + x1 + reach, "right")
     count = np.maximum(hi - lo, 0)
-    below = np.repeat(np.arange(n), count)
     above = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    label = np.arange(n)
-    while True:
+    return y, x0, x1, above, np.repeat(np.arange(len(y)), count)
+
+
+def region_boxes(mask: np.ndarray, corners: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(x, y, w, h) and the number of pixels of each connected region, by its first run.
+
+    Labels spread over runs: each takes the least label of the runs it touches in the lines
+    beside it, until nothing changes, with pointer jumping.
+    """
+    y, x0, x1, above, below = contacts(mask, corners)
+    label = np.arange(len(y))
+    while len(above):
         old = label.copy()
-        np.minimum.at(label, label[below], label[above])
-        np.minimum.at(label, label[above], label[below])
-        label = np.minimum(label, label[label])
+        np.minimum.at(label, below, label[above])
+        np.minimum.at(label, above, label[below])
         while (label != label[label]).any():
             label = label[label]
         if (label == old).all():
             break
     root, of = np.unique(label, return_inverse=True)
-    m = len(root)
-    left, right, top, bottom = np.full(m, width), np.zeros(m, int), np.full(m, mask.shape[0]), np.zeros(m, int)
+    far = max(mask.shape, default=0) + 1
+    left, top, right, bottom = (np.full(len(root), v) for v in (far, far, -1, -1))
     np.minimum.at(left, of, x0)
-    np.maximum.at(right, of, x1)
     np.minimum.at(top, of, y)
+    np.maximum.at(right, of, x1)
     np.maximum.at(bottom, of, y)
-    out = np.stack([left, top, right - left + 1, bottom - top + 1], 1)
+    return np.stack([left, top, right - left + 1, bottom - top + 1], 1), np.bincount(of, x1 - x0 + 1, minlength=len(root)).astype(np.int64)
+
+
+def regions(mask: np.ndarray) -> np.ndarray:
+    """(x, y, w, h) of the 8-connected regions whose box has enough cells, by (y, x)."""
+    out = region_boxes(mask)[0]
     out = out[out[:, 2] * out[:, 3] >= CELLS]
     return out[np.lexsort((out[:, 0], out[:, 1]))][:MOST]
 

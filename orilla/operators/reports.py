@@ -27,21 +27,25 @@ def top_modes(rows: DataFrame, value: str, n: int = 5) -> DataFrame:
 
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """The same n rows for the same seed, whatever the partitioning."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), key).limit(n)
 
 
 def eda(files: DataFrame, profiles: DataFrame, seconds_per_image: float, workers: tuple[int, ...] = (1, 4, 8), scaling: tuple[float, ...] = (1.0, 1.40, 1.67)) -> DataFrame:
     """One row on a folder: sizes, formats, verdicts and resolutions of the sample, estimated times.
 
-    files: path, length. profiles: decided profile rows of the sample. The scaling factors are measured ones.
+    files: path, length. profiles: width, height and status of the sample, "failed" where an image can't be
+    read. The scaling factors are measured ones.
     """
     form = files.groupBy(payload.file_ext(F.col("path")).alias("ext")).agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ext", "n")))).alias("formats"))
     size = files.agg(F.count("*").alias("total_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
-    verdict = profiles.groupBy("status").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("verdicts"))
-    ratio = profiles.groupBy(boxes.ratio_label(F.col("width"), F.col("height")).alias("r")).agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("r", "n")))).alias("ratios"))
-    res = top_modes(profiles.withColumn("res", F.concat_ws("x", "width", "height")), "res").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("res", "n")))).alias("resolutions"))
+    tally = lambda rows, key: rows.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias("m"))
+    counts = lambda rows, value: rows.groupBy(value.alias("k")).agg(F.count("*").alias("n"))
+    read = profiles.where("status <> 'failed'")
+    size_of = F.concat_ws("x", F.col("width").cast("int"), F.col("height").cast("int"))
+    parts = {"verdicts": counts(profiles, F.col("status")), "ratios": counts(read, boxes.ratio_label(F.col("width"), F.col("height"))), "resolutions": top_modes(read.withColumn("k", size_of), "k")}
+    means = profiles.agg(F.count("*").alias("sampled"), F.count_if(F.col("status") == "failed").alias("corrupt"), *(F.coalesce(F.bround(F.avg(F.when(F.col("status") != "failed", F.col(c)))), F.lit(0)).cast("long").alias(f"avg_{c}") for c in ("width", "height")))
     out = size
-    for one in (form, verdict, ratio, res):  # one row each
+    for one in (form, means, *(tally(rows, "k").withColumnRenamed("m", name) for name, rows in parts.items())):  # one row each
         out = out.join(F.broadcast(one))
     for n, k in zip(workers, scaling):
         out = out.withColumn(f"eta_{n}_workers", payload.duration(F.col("total_files") * seconds_per_image / k))

@@ -1,19 +1,24 @@
 """The operators over the driver's tables, with the same results in SQL.
 
-There are no images among the tables, so rasters are arrays computed from a key
-inside a row: profiles need no shuffle, whatever their size.
+There are no images among the tables, so rasters are made from a key in the task
+that looks at them with the engine's own operators, without a shuffle; the SQL
+works out the same from the rule by which they are made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from orilla.functions import boxes, payload
-from orilla.operators import d0, ledger, reports
+from orilla.operators import d0, ledger, probes, raster, reports
+from orilla.operators.decide import decide
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,78 +41,139 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 W_, H_ = 40, 30
-#: dark pixels (luma under 48) of an image's line y: its bar, or a checkered pattern beyond it
+#: dark pixels of an image's line y: its bar, or a checkered pattern beyond it
 _DARK_SQL = "CASE WHEN {y} < {k} % 10 THEN 40 - ({k} + {y}) % 3 ELSE ({k} * 7 + {y} * 3) % 20 END"
 
 
-def _dark(key: Column, y: Column) -> Column:
-    return F.when(y < key % 10, W_ - (key + y) % 3).otherwise((key * 7 + y * 3) % 20)
+def _lined(key: int) -> np.ndarray:
+    """A raster whose lines begin with so many dark pixels."""
+    y = np.arange(H_)
+    dark = np.where(y < key % 10, W_ - (key + y) % 3, (key * 7 + y * 3) % 20)
+    return np.repeat(np.where(np.arange(W_) < dark[:, None], 8, 200).astype(np.uint8)[..., None], 3, 2)
 
 
-def _profile(key: Column) -> Column:
-    """Dark pixels per line, from the edge inward."""
-    return F.transform(F.sequence(F.lit(0), F.lit(H_ - 1)), lambda y: _dark(key, y).cast("long"))
+def _barred(key: int) -> np.ndarray:
+    """A light raster with a solid bar above, in some cases one below, too; or a dark one."""
+    a = np.full((60, W_, 3), 20 if key % 13 == 0 else 200, np.uint8)
+    if key % 13:
+        a[: 20 if key % 7 == 0 else key % 12] = 8
+        if key % 7 == 0:
+            a[40:] = 8
+    return a
 
 
-def _run(profile: Column, width: int = W_) -> Column:
-    """Leading lines of which at least 85 % are dark."""
-    flags = F.transform(profile, lambda d: d * 100 >= 85 * width)
-    return F.coalesce(F.nullif(F.array_position(flags, False), F.lit(0)) - 1, F.size(flags).cast("long"))
+def _by_part(spark: SparkSession, sf_dir: str, schema: str, rows: Callable[[int], list[dict]]) -> DataFrame:
+    """p_partkey and what ``rows`` gives for each part's raster, made and looked at inside one task."""
+    names = ["p_partkey", *T.StructType.fromDDL(schema).names]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame([{"p_partkey": k, **r} for k in f["p_partkey"].tolist() for r in rows(k)], columns=names)
+
+    return _t(spark, sf_dir, "part").select("p_partkey").mapInPandas(run, f"p_partkey long, {schema}")
 
 
 _LINES = f"SELECT p_partkey, y, ({_DARK_SQL.format(k='p_partkey', y='y')})::BIGINT AS dark FROM part, (SELECT unnest(range({H_})) AS y)"
+_EDGE = f"""WITH l AS ({_LINES})
+SELECT p_partkey, coalesce(min(CASE WHEN dark * 100 < 85 * {W_} THEN y END), {H_})::BIGINT AS run, sum(dark)::BIGINT AS dark_pixels FROM l GROUP BY 1"""
 
 
-@query(f"WITH l AS ({_LINES}) SELECT p_partkey, coalesce(min(CASE WHEN dark * 100 < 85 * {W_} THEN y END), {H_})::BIGINT AS run, sum(dark)::BIGINT AS dark_pixels FROM l GROUP BY 1")
+@query(_EDGE)
 def raster_edge_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _t(spark, sf_dir, "part").select("p_partkey", _profile(F.col("p_partkey")).alias("profile"))
-    return p.select("p_partkey", _run(F.col("profile")).alias("run"), F.aggregate("profile", F.lit(0).cast("long"), lambda a, x: a + x).alias("dark_pixels"))
+    def rows(k: int) -> list[dict]:
+        dark = raster.line_profile(raster.turned(_lined(k), "top"), None)["dark"]
+        return [{"run": raster.leading(dark >= raster.LINE_DARK), "dark_pixels": round(float(dark.sum()) * W_)}]
+
+    return _by_part(spark, sf_dir, "run long, dark_pixels long", rows)
 
 
-_VERDICT = f"""WITH l AS ({_LINES}), r AS (SELECT p_partkey, coalesce(min(CASE WHEN dark * 100 < 85 * {W_} THEN y END), {H_})::BIGINT AS run, sum(dark)::BIGINT AS d FROM l GROUP BY 1)"""
+def _decided(spark: SparkSession, sf_dir: str, make: Callable[[int], np.ndarray]) -> DataFrame:
+    return decide(_by_part(spark, sf_dir, raster.PROFILE, lambda k: [raster.profile(make(k))]))
 
 
-@query(_VERDICT + f" SELECT CASE WHEN d > 1000 THEN 'quarantine' WHEN run < 3 OR 2 * run > {H_} THEN 'noop' ELSE 'crop' END AS status, count(*)::BIGINT AS n, sum(run)::BIGINT AS removed_lines FROM r GROUP BY 1")
+_BARS = "SELECT p_partkey AS k, CASE WHEN p_partkey % 13 = 0 THEN 0 WHEN p_partkey % 7 = 0 THEN 20 ELSE p_partkey % 12 END AS t FROM part"
+
+
+@query(f"""WITH b AS ({_BARS}), v AS (SELECT t, CASE WHEN k % 13 = 0 THEN 'uniform_dark_image' WHEN k % 7 = 0 THEN 'crop_removes_majority' END AS reason FROM b)
+SELECT CASE WHEN reason IS NOT NULL THEN 'quarantine' WHEN t < 3 THEN 'noop' ELSE 'crop' END AS status, coalesce(reason, '') AS reason, count(*)::BIGINT AS n,
+sum(CASE WHEN reason IS NULL AND t >= 3 THEN t ELSE 0 END)::BIGINT AS removed_lines FROM v GROUP BY 1, 2""")
 def raster_verdict_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = raster_edge_run(spark, sf_dir)
-    status = F.when(F.col("dark_pixels") > 1000, "quarantine").when((F.col("run") < 3) | (2 * F.col("run") > H_), "noop").otherwise("crop")
-    return r.groupBy(status.alias("status")).agg(F.count("*").alias("n"), F.sum("run").alias("removed_lines"))
+    seen = _decided(spark, sf_dir, _barred)
+    return seen.groupBy("status", F.coalesce("quarantine_reason", F.lit("")).alias("reason")).agg(F.count("*").alias("n"), F.sum(F.col("height") - F.col("crop_box.h")).alias("removed_lines"))
 
 
 _PIXELS = f"SELECT p_partkey, y, x, ((p_partkey * 31 + y * 17 + (x // 3) * (7 + y % 3)) % 5 < 2) AS lit FROM part, (SELECT unnest(range({H_})) AS y), (SELECT unnest(range({W_})) AS x)"
-_RUNS = f"""WITH p AS ({_PIXELS}), e AS (SELECT *, coalesce(lag(lit) OVER (PARTITION BY p_partkey, y ORDER BY x), false) AS before, coalesce(lead(lit) OVER (PARTITION BY p_partkey, y ORDER BY x), false) AS after FROM p),
-s AS (SELECT p_partkey, y, x AS x0, row_number() OVER (PARTITION BY p_partkey, y ORDER BY x) AS k FROM e WHERE lit AND NOT before), f AS (SELECT p_partkey, y, x AS x1, row_number() OVER (PARTITION BY p_partkey, y ORDER BY x) AS k FROM e WHERE lit AND NOT after),
+_RUNS = f"""WITH p AS ({_PIXELS}),
+e AS (SELECT *, coalesce(lag(lit) OVER w, false) AS before, coalesce(lead(lit) OVER w, false) AS after FROM p WINDOW w AS (PARTITION BY p_partkey, y ORDER BY x)),
+s AS (SELECT p_partkey, y, x AS x0, row_number() OVER (PARTITION BY p_partkey, y ORDER BY x) AS k FROM e WHERE lit AND NOT before),
+f AS (SELECT p_partkey, y, x AS x1, row_number() OVER (PARTITION BY p_partkey, y ORDER BY x) AS k FROM e WHERE lit AND NOT after),
 r AS (SELECT s.p_partkey, s.y, s.x0, f.x1 FROM s JOIN f USING (p_partkey, y, k))"""
 
 
-def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(p_partkey, y, runs): the lit runs of each line, as an array inside the row."""
-    lines = _t(spark, sf_dir, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(H_ - 1))).alias("y"))
-    lit = lambda x: (F.col("p_partkey") * 31 + F.col("y") * 17 + F.floor(x / 3) * (7 + F.col("y") % 3)) % 5 < 2
-    xs = F.sequence(F.lit(0), F.lit(W_ - 1))
-    start = F.filter(xs, lambda x: lit(x) & ((x == 0) | ~lit(x - 1)))
-    end = F.filter(xs, lambda x: lit(x) & ((x == W_ - 1) | ~lit(x + 1)))
-    return lines.select("p_partkey", "y", F.arrays_zip(start.alias("x0"), end.alias("x1")).alias("runs"))
+def _speckled(key: int) -> np.ndarray:
+    y, x = np.arange(H_)[:, None], np.arange(W_)
+    return (key * 31 + y * 17 + (x // 3) * (7 + y % 3)) % 5 < 2
 
 
-@query(_RUNS + " SELECT p_partkey, count(*)::BIGINT AS n_runs, sum(x1 - x0 + 1)::BIGINT AS lit_pixels, max(x1 - x0 + 1)::BIGINT AS longest FROM r GROUP BY 1")
-def raster_component_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _runs(spark, sf_dir).select("p_partkey", F.explode("runs").alias("r")).withColumn("n", (F.col("r.x1") - F.col("r.x0") + 1).cast("long"))
-    return r.groupBy("p_partkey").agg(F.count("*").alias("n_runs"), F.sum("n").alias("lit_pixels"), F.max("n").alias("longest"))
+@query(_RUNS + """ SELECT a.p_partkey, count(*)::BIGINT AS n_contacts FROM r a
+JOIN r b ON a.p_partkey = b.p_partkey AND b.y = a.y + 1 AND a.x1 >= b.x0 - 1 AND a.x0 <= b.x1 + 1 GROUP BY 1""")
+def raster_run_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The band join of neighbouring lines' runs, inside the row: nothing is shuffled."""
 
+    def rows(k: int) -> list[dict]:
+        n = len(raster.contacts(_speckled(k))[3])
+        return [{"n_contacts": n}] if n else []
 
-@query(_RUNS + " SELECT a.p_partkey, count(*)::BIGINT AS n_contacts FROM r a JOIN r b ON a.p_partkey = b.p_partkey AND b.y = a.y + 1 AND a.x1 >= b.x0 - 1 AND a.x0 <= b.x1 + 1 GROUP BY 1")
-def raster_run_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _runs(spark, sf_dir).select("p_partkey", "y", F.explode("runs").alias("r")).select("p_partkey", "y", "r.x0", "r.x1")
-    a, b = r.alias("a"), r.select("p_partkey", (F.col("y") - 1).alias("y"), F.col("x0").alias("b0"), F.col("x1").alias("b1")).alias("b")
-    return a.join(b, ["p_partkey", "y"]).where("x1 >= b0 - 1 AND x0 <= b1 + 1").groupBy("p_partkey").agg(F.count("*").alias("n_contacts"))
+    return _by_part(spark, sf_dir, "n_contacts long", rows)
+
+
+def _boxed(key: int) -> np.ndarray:
+    """Up to four rectangles in columns of ten, apart from each other."""
+    a = np.zeros((H_, W_), bool)
+    for r in range(key % 4 + 1):
+        y = 3 + key * r % 15
+        a[y : y + 2 + (key * 3 + r) % 7, 10 * r : 10 * r + 3 + (key + r) % 6] = True
+    return a
+
+
+_BOXED = "SELECT p_partkey, 3 + (p_partkey + r) % 6 AS w, 2 + (p_partkey * 3 + r) % 7 AS h, 10 * r AS x, 3 + p_partkey * r % 15 AS y FROM part, (SELECT unnest([0, 1, 2, 3]) AS r) WHERE r <= p_partkey % 4"
 
 
-@query("WITH a AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.02) AS lo, quantile_cont(l_extendedprice, 0.98) AS hi, count(*) AS n, avg(l_extendedprice) AS m FROM lineitem GROUP BY 1) SELECT l_returnflag, round(lo, 4) AS lo, round(hi, 4) AS hi, n::BIGINT AS n, round(greatest(0, least(1, (m - lo) / (hi - lo))), 6) AS mean_stretched FROM a")
+@query(f"SELECT p_partkey, count(*)::BIGINT AS n_regions, sum(w * h)::BIGINT AS cells, max(w * h)::BIGINT AS largest, min(x)::BIGINT AS leftmost, max(y + h)::BIGINT AS lowest FROM ({_BOXED}) GROUP BY 1")
+def raster_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def rows(k: int) -> list[dict]:
+        b, (_, area) = raster.regions(_boxed(k)), raster.region_boxes(_boxed(k))
+        return [{"n_regions": len(b), "cells": int(area.sum()), "largest": int(area.max()), "leftmost": int(b[:, 0].min()), "lowest": int((b[:, 1] + b[:, 3]).max())}]
+
+    return _by_part(spark, sf_dir, "n_regions long, cells long, largest long, leftmost long, lowest long", rows)
+
+
+@query(f"SELECT p_partkey, arg_max(x, w * h * 100 - x)::BIGINT AS x, max(w * h)::BIGINT AS area FROM ({_BOXED}) GROUP BY 1")
+def raster_largest_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def rows(k: int) -> list[dict]:
+        x, _, w, h = probes.largest(_boxed(k))
+        return [{"x": x, "area": w * h}]
+
+    return _by_part(spark, sf_dir, "x long, area long", rows)
+
+
+@query("""WITH v AS (SELECT p_partkey, ((p_partkey * 37 + i * 61) % 97)::DOUBLE / 255 AS v FROM part, (SELECT unnest(range(100)) AS i)),
+a AS (SELECT p_partkey, quantile_cont(v, 0.02) AS lo, quantile_cont(v, 0.98) AS hi FROM v GROUP BY 1)
+SELECT p_partkey, round(any_value(lo), 6) AS lo, round(any_value(hi), 6) AS hi, round(avg(greatest(0, least(1, (v - lo) / (hi - lo)))), 6) AS mean_stretched FROM v JOIN a USING (p_partkey) GROUP BY 1""")
+def exposure_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def rows(k: int) -> list[dict]:
+        grid = (k * 37 + np.arange(100) * 61) % 97 / 255
+        lo, hi = raster.anchors(grid)
+        return [{"lo": lo, "hi": hi, "mean_stretched": float(raster.stretch(grid, (lo, hi)).mean())}]
+
+    found = _by_part(spark, sf_dir, "lo double, hi double, mean_stretched double", rows)
+    return found.select("p_partkey", *(F.round(c, 6).alias(c) for c in ("lo", "hi", "mean_stretched")))
+
+
+@query("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.02), 4) AS lo, round(quantile_cont(l_extendedprice, 0.98), 4) AS hi, count(*)::BIGINT AS n FROM lineitem GROUP BY 1")
 def exposure_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_extendedprice", F.lit(0.02)).alias("lo"), F.percentile("l_extendedprice", F.lit(0.98)).alias("hi"), F.count("*").alias("n"), F.avg("l_extendedprice").alias("m"))
-    s = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("m") - F.col("lo")) / (F.col("hi") - F.col("lo"))))
-    return a.select("l_returnflag", F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"), "n", F.round(s, 6).alias("mean_stretched"))
+    p = lambda q: F.round(F.percentile("l_extendedprice", F.lit(q)), 4)
+    return _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(p(0.02).alias("lo"), p(0.98).alias("hi"), F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
@@ -127,12 +193,6 @@ def ledger_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest(_t(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "ts"), "user_id", ("ts", "event_id")).drop("ts")
 
 
-@query("SELECT o_orderpriority, count(*)::BIGINT AS total, count(*) FILTER (o_orderstatus = 'O')::BIGINT AS \"O\", count(*) FILTER (o_orderstatus = 'F')::BIGINT AS \"F\", count(*) FILTER (o_orderstatus = 'P')::BIGINT AS \"P\" FROM orders GROUP BY 1")
-def status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _t(spark, sf_dir, "orders")
-    return o.groupBy("o_orderpriority").agg(F.count("*").alias("total"), *(F.count_if(F.col("o_orderstatus") == s).alias(s) for s in ("O", "F", "P")))
-
-
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as ledger records."""
     status = F.element_at(F.array(*(F.lit(s) for s in ledger.STATUSES)), (F.col("c_custkey") % 4 + 1).cast("int"))
@@ -147,6 +207,11 @@ def qa_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.qa(_records(spark, sf_dir)).withColumn("quarantine_sources", F.array_join("quarantine_sources", ","))
 
 
+@query(f"SELECT count(*)::BIGINT AS total, {', '.join(f"count(*) FILTER (status = '{x}')::BIGINT AS {x}" for x in ledger.STATUSES)} FROM ({_RECORDS})")
+def status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.status_tally(_records(spark, sf_dir))
+
+
 @query(f"""WITH r AS (SELECT source, regexp_replace(trim(d), '\\s+', '_', 'g') AS id, status FROM ({_RECORDS})), g AS (SELECT *, row_number() OVER (ORDER BY lower(id), source) AS k FROM r WHERE status <> 'failed')
 SELECT k::INT AS orden, id, printf('%06d_%s_crop.png', k, id) AS archivo_limpio, status AS estado, source AS origen FROM g UNION ALL SELECT NULL, id, NULL, status, source FROM r WHERE status = 'failed'""")
 def delivery_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,17 +229,36 @@ def orphan_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.orphans(_t(spark, sf_dir, "part").select(name("p_partkey")), _t(spark, sf_dir, "lineitem").where("l_quantity > 49").select(name("l_partkey")))
 
 
-@query("SELECT user_id, event_id, (count(*) OVER w = 5 AND max(value) OVER w - min(value) OVER w <= 60) AS freezes FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)")
+@query("""WITH e AS (SELECT user_id, event_id, ts, 10 * (floor(value)::BIGINT % 12) + 7 AS t FROM events)
+SELECT user_id, event_id, (count(*) OVER w = 5 AND max(t) OVER w - first_value(t) OVER w <= 45 AND first_value(t) OVER w - min(t) OVER w <= 45) AS freezes
+FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
 def pattern_freeze_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-4, 0)
-    return _t(spark, sf_dir, "events").select("user_id", "event_id", ((F.count("*").over(w) == 5) & (F.max("value").over(w) - F.min("value").over(w) <= 60)).alias("freezes"))
+    """Would the last five patterns freeze: each is compatible with the first of them."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(1 - d0.FREEZE, 0)
+    t = (10 * (F.floor("value") % 12) + 7).cast("int")
+    cut = boxes.pattern(F.lit("ok"), boxes.box(F.lit(0), F.lit(0), F.lit(400), 300 - t), F.lit(400), F.lit(300))
+    last = _t(spark, sf_dir, "events").select("user_id", "event_id", "ts", cut.alias("cut")).withColumn("last", F.collect_list("cut").over(w))
+    return last.select("user_id", "event_id", ((F.size("last") == d0.FREEZE) & F.forall("last", lambda p: boxes.compatible(p, F.get("last", F.lit(0))))).alias("freezes"))
+
+
+_LOTS = "SELECT user_id, event_id, 10 * (user_id % 3) AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events"
 
 
-@query()
+@query(f"""SELECT user_id::VARCHAR AS lot, printf('%012d', event_id) AS source, CASE WHEN t > 0 THEN 'crop' ELSE 'noop' END AS status, CASE WHEN hit THEN 'd0-cache' ELSE 'projection' END AS method,
+(300 - t)::INT AS h, CASE WHEN hit THEN 0.9 ELSE 0.95 END::DOUBLE AS confidence, hit AS frozen, (i + 1)::BIGINT AS seq FROM (SELECT *, t > 0 AND i % 30 >= 5 AS hit FROM ({_LOTS}))""")
 def d0_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.floor(F.col("value") % 3).cast("int") * 10
-    e = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("lot"), F.format_string("%012d", "event_id").alias("source"), F.lit(400).alias("width"), F.lit(300).alias("height"), F.when(t > 0, "crop").otherwise("noop").alias("status"), F.lit("projection").alias("method"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(400).alias("w"), (300 - t).alias("h"), F.lit(0.95).alias("confidence"), F.lit(None).cast("string").alias("quarantine_reason"), F.lit(1).alias("frozen_step"), F.lit(0.6).alias("frozen_luma_mean"), F.lit(0.5).alias("frozen_bright_frac"), F.lit(None).cast("map<string,struct<dark:array<float>,bright:array<float>>>").alias("frozen_lines"))
-    return d0.fold_lots(e)
+    """Lots of equal bars: five fresh images freeze the pattern, 25 cached ones let it go again; lots without bars never freeze."""
+    t = (F.col("user_id") % 3 * 10).cast("int")
+    line = lambda n, dark: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(dark(i), 1.0).otherwise(0.0).cast("float"))
+    check = lambda n, dark: F.struct(line(n, dark).alias("dark"), line(n, lambda i: ~dark(i)).alias("bright"))
+    lines = F.create_map(F.lit("rows"), check(300, lambda i: i >= 300 - t), F.lit("cols"), check(400, lambda i: F.lit(False)))
+    shown = {
+        "lot": F.col("user_id").cast("string"), "source": F.format_string("%012d", "event_id"), "width": F.lit(400), "height": F.lit(300), "status": F.when(t > 0, "crop").otherwise("noop"),
+        "method": F.lit("projection"), "x": F.lit(0), "y": F.lit(0), "w": F.lit(400), "h": 300 - t, "confidence": F.lit(0.95), "quarantine_reason": F.lit(None).cast("string"),
+        "frozen_step": F.lit(1), "frozen_luma_mean": F.lit(0.7), "frozen_bright_frac": F.lit(0.6), "frozen_lines": lines,
+    }
+    rows = _t(spark, sf_dir, "events").select(*(shown[c].alias(c) for c in d0.NARROW))
+    return d0.fold_lots(rows).select("lot", "source", "status", "method", "h", "confidence", "frozen", "seq")
 
 
 @query("SELECT doc_id, octet_length(encode(text))::BIGINT AS n_bytes, sha256(text) AS sha256 FROM documents")
@@ -190,13 +274,13 @@ def payload_base64_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.octet_length("b").cast("long").alias("n_bytes"), F.sha2("b", 256).alias("sha256"))
 
 
-_HEADS = "['FFD8FFE0','89504E470D0A1A0A','52494646000000005745425000','424D0000','49492A00','3C68746D6C','4D4D002A']"
+_HEADS = "['FFD8FFE0','89504E470D0A1A0A','52494646000000005745425000','424D0000','49492A00','3C68746D6C','4D4D002A','89504E4700000000']"
 
 
-@query(f"SELECT CASE WHEN h LIKE 'FFD8FF%' THEN '.jpg' WHEN h LIKE '52494646%' AND h[17:24] = '57454250' THEN '.webp' WHEN h LIKE '89504E47%' THEN '.png' WHEN h LIKE '424D%' THEN '.bmp' WHEN h LIKE '49492A00%' OR h LIKE '4D4D002A%' THEN '.tiff' ELSE '.jpg' END AS ext, count(*)::BIGINT AS n FROM (SELECT ({_HEADS})[(page_id % 7 + 1)::INT] AS h FROM pages) GROUP BY 1")
+@query(f"SELECT CASE WHEN h LIKE 'FFD8FF%' THEN '.jpg' WHEN h LIKE '52494646%' AND h[17:24] = '57454250' THEN '.webp' WHEN h LIKE '89504E470D0A1A0A%' THEN '.png' WHEN h LIKE '424D%' THEN '.bmp' WHEN h LIKE '49492A00%' OR h LIKE '4D4D002A%' THEN '.tiff' ELSE '.jpg' END AS ext, count(*)::BIGINT AS n FROM (SELECT ({_HEADS})[(page_id % 8 + 1)::INT] AS h FROM pages) GROUP BY 1")
 def payload_magic_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = F.array(*(F.lit(x) for x in _HEADS.strip("[]").replace("'", "").split(",")))
-    p = _t(spark, sf_dir, "pages").select(F.unhex(F.concat(F.element_at(heads, (F.col("page_id") % 7 + 1).cast("int")).substr(1, 24), F.lit(""))).alias("b"))
+    p = _t(spark, sf_dir, "pages").select(F.unhex(F.concat(F.element_at(heads, (F.col("page_id") % 8 + 1).cast("int")).substr(1, 24), F.lit(""))).alias("b"))
     return p.groupBy(payload.image_ext(F.col("b")).alias("ext")).agg(F.count("*").alias("n"))
 
 
@@ -205,7 +289,7 @@ def source_sha256(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("sha256"))
 
 
-_RATIO = "CASE WHEN abs(w / h - 0.75) <= 0.05 THEN '3:4 (Carnet)' WHEN abs(w / h - 1.0) <= 0.05 THEN '1:1 (Cuadrado)' WHEN abs(w / h - 0.8) <= 0.05 THEN '4:5 (Retrato)' WHEN abs(w / h - 1.33) <= 0.05 THEN '4:3 (Apaisado)' ELSE w::INT || ':' || h::INT || ' (Otro)' END"
+_RATIO = "CASE " + " ".join(f"WHEN abs(w / h - {r}) < 0.05 THEN '{n}'" for r, n in boxes.RATIOS) + " ELSE w::INT || ':' || h::INT || ' (Otro)' END"
 
 
 @query(f"SELECT {_RATIO} AS ratio, count(*)::BIGINT AS n FROM (SELECT (p_size + 20)::DOUBLE AS w, (p_partkey % 30 + 25)::DOUBLE AS h FROM part) GROUP BY 1")
@@ -258,9 +342,31 @@ def pattern_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", F.array_join(F.map_keys("m"), ",").alias("sides"), F.round(F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, v: a + v), 6).alias("cut"))
 
 
-@query("SELECT count(*)::BIGINT AS n, sum(n_chars)::BIGINT AS chars, min(n_chars) AS shortest, max(n_chars) AS longest, round(avg(n_chars), 4) AS mean, lang FROM documents GROUP BY lang")
+_LOT = "SELECT p_partkey AS k, (p_size % 5 * 20 + 300)::DOUBLE AS w, (p_partkey % 4 * 50 + 300)::DOUBLE AS h, (['crop','noop','quarantine','failed'])[(p_partkey % 4 + 1)::INT] AS status FROM part"
+
+
+@query(f"""WITH l AS ({_LOT}), g AS (SELECT w, h, status, {_RATIO} AS r FROM l)
+SELECT 'total' AS kind, 'files' AS name, count(*)::BIGINT AS n FROM l UNION ALL SELECT 'total', 'bytes', sum(k * 100)::BIGINT FROM l UNION ALL SELECT 'total', 'corrupt', count(*) FILTER (status = 'failed')::BIGINT FROM l
+UNION ALL SELECT 'total', 'avg_width', round_even(avg(w) FILTER (status <> 'failed'), 0)::BIGINT FROM l
+UNION ALL SELECT 'format', CASE WHEN k % 3 = 0 THEN '.png' ELSE '.jpg' END, count(*)::BIGINT FROM l GROUP BY 2 UNION ALL SELECT 'verdict', status, count(*)::BIGINT FROM l GROUP BY 2
+UNION ALL SELECT 'ratio', r, count(*)::BIGINT FROM g WHERE status <> 'failed' GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'resolution', w::INT || 'x' || h::INT AS res, count(*)::BIGINT AS n FROM l WHERE status <> 'failed' GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 5)""")
 def eda_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest"), F.round(F.avg("n_chars"), 4).alias("mean"))
+    """The report of a lot, its parts as rows."""
+    k = F.col("p_partkey")
+    p = _t(spark, sf_dir, "part")
+    files = p.select(F.concat(F.lit("in/"), k, F.when(k % 3 == 0, ".png").otherwise(".JPG")).alias("path"), (k * 100).alias("length"))
+    status = F.element_at(F.array(*(F.lit(x) for x in ("crop", "noop", "quarantine", "failed"))), (k % 4 + 1).cast("int"))
+    seen = p.select((F.col("p_size") % 5 * 20 + 300).alias("width"), (k % 4 * 50 + 300).alias("height"), status.alias("status"))
+    row = reports.eda(files, seen, 0.1)
+    total = F.create_map(*(x for n, c in (("files", "total_files"), ("bytes", "total_bytes"), ("corrupt", "corrupt"), ("avg_width", "avg_width")) for x in (F.lit(n), F.col(c).cast("long"))))
+    parts = {"total": total, "format": F.col("formats"), "verdict": F.col("verdicts"), "ratio": F.col("ratios"), "resolution": F.col("resolutions")}
+
+    def named(kind: str, m: Column) -> Column:
+        return F.transform(F.map_entries(m), lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("name"), e["value"].alias("n")))
+
+    rows = F.flatten(F.array(*(named(kind, m) for kind, m in parts.items())))
+    return row.select(F.explode(rows).alias("r")).select("r.*")
 
 
 @query("SELECT source, count(*)::BIGINT AS n FROM documents GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
@@ -268,15 +374,35 @@ def eda_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_modes(_t(spark, sf_dir, "documents"), "source")
 
 
-@query()
+@query("SELECT doc_id, source FROM documents ORDER BY md5(doc_id || ':42'), doc_id LIMIT 100")
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.seeded_sample(_t(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 100)
 
 
-@query("SELECT l_returnflag, (l_linenumber * 10 + l_quantity::INT) // 10 AS band, count(*)::BIGINT AS n, count(*) FILTER (l_discount < 0.03)::BIGINT AS dark, count(*) FILTER (l_discount > 0.07)::BIGINT AS bright, sum(l_quantity)::BIGINT AS total FROM lineitem GROUP BY 1, 2")
+@query(f"""WITH l AS ({_LINES}) SELECT p_partkey, (y // 10 * 10)::BIGINT AS y0, round(sum(dark) / 400.0, 4)::DOUBLE AS dark_frac, round(1 - sum(dark) / 400.0, 4)::DOUBLE AS bright_frac,
+round((sum(dark) * 8 + (400 - sum(dark)) * 200) / 400.0 / 255, 4)::DOUBLE AS mean_luma FROM l GROUP BY 1, 2""")
 def row_band_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    band = F.floor((F.col("l_linenumber") * 10 + F.col("l_quantity").cast("int")) / 10).cast("int")
-    return _t(spark, sf_dir, "lineitem").groupBy("l_returnflag", band.alias("band")).agg(F.count("*").alias("n"), F.count_if(F.col("l_discount") < 0.03).alias("dark"), F.count_if(F.col("l_discount") > 0.07).alias("bright"), F.sum("l_quantity").cast("long").alias("total"))
+    def rows(k: int) -> list[dict]:
+        return [{c: b[c] for c in ("y0", "dark_frac", "bright_frac", "mean_luma")} for b in probes.row_bands(_lined(k))]
+
+    return _by_part(spark, sf_dir, "y0 long, dark_frac double, bright_frac double, mean_luma double", rows)
+
+
+_REGIONS = "SELECT p_partkey, x, y, w, h, row_number() OVER (PARTITION BY p_partkey ORDER BY w * h DESC, y, x) AS k FROM (SELECT p_partkey, x * 20 AS x, y * 20 AS y, w * 20 AS w, h * 20 AS h FROM boxed)"
+
+
+@query(f"WITH boxed AS ({_BOXED}) SELECT p_partkey, k::INT AS k, x::INT AS x, y::INT AS y, w::INT AS w, h::INT AS h FROM ({_REGIONS}) WHERE k <= 12")
+def bright_region_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of enlarged rectangles: the grid of the probe thins them, their boxes come back in pixels."""
+
+    def rows(k: int) -> list[dict]:
+        found = probes.bright_regions(np.where(np.kron(_boxed(k), np.ones((20, 20), bool)), 0.9, 0.1))
+        boxes_ = sorted((b["bbox_xywh"] for b in found), key=lambda b: (-b[2] * b[3], b[1], b[0]))
+        # a grid of 3 pixels widens what doesn't begin or end on it
+        snap = [[round(v / 20) * 20 for v in b] for b in boxes_]
+        return [{"k": i + 1, **dict(zip("xywh", b))} for i, b in enumerate(snap)]
+
+    return _by_part(spark, sf_dir, "k int, x int, y int, w int, h int", rows)
 
 
 @query("SELECT (event_id % 5 = 0 AND event_id % 4 <> 1) AS valid, count(*)::BIGINT AS n FROM events GROUP BY 1")
@@ -286,18 +412,24 @@ def json_strict_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").groupBy(boxes.valid_opinion(reply).alias("valid")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, CASE WHEN s >= 3600 THEN printf('%02dh %02dm %02ds', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%02dm %02ds', s // 60, s % 60) END AS eta FROM (SELECT o_orderkey, floor(o_totalprice / 20)::BIGINT AS s FROM orders)")
+@query("SELECT o_orderkey, CASE WHEN s >= 3600 THEN printf('%02dh %02dm %02ds', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%02dm %02ds', s // 60, s % 60) END AS eta FROM (SELECT o_orderkey, round_even(o_totalprice / 20, 0)::BIGINT AS s FROM orders)")
 def eta_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "orders").select("o_orderkey", payload.duration(F.col("o_totalprice") / 20).alias("eta"))
 
 
-_INSIDE = " UNION ALL ".join(f"SELECT p_partkey, '{s}' AS side, coalesce(min(CASE WHEN dark * 100 < 85 * {W_} THEN y END), {H_})::BIGINT AS run FROM (SELECT p_partkey, y, ({_DARK_SQL.format(k=f'(p_partkey + {i * 3})', y='y')}) AS dark FROM part, (SELECT unnest(range({H_})) AS y)) GROUP BY 1" for i, s in enumerate(boxes.SIDES))
-
-
-@query(f"SELECT p_partkey, side, run, round(run * 100.0 / {H_}, 2)::DOUBLE AS percent FROM ({_INSIDE})")
+@query(f"""WITH b AS ({_BARS}), f AS (SELECT k, CASE WHEN k % 13 = 0 THEN 21 ELSE t END AS top, CASE WHEN k % 13 = 0 THEN 21 WHEN k % 7 = 0 THEN 20 ELSE 0 END AS bottom, k % 13 = 0 AS dark FROM b),
+s AS (SELECT k, 'top' AS side, top AS run, 60 AS dim, (dark OR top > 0) AS first, (NOT dark AND top > 0) AS strict FROM f UNION ALL SELECT k, 'bottom', bottom, 60, dark OR bottom > 0, NOT dark AND bottom > 0 FROM f
+UNION ALL SELECT k, x, CASE WHEN dark THEN 14 ELSE 0 END, 40, NULL, NULL FROM f, (SELECT unnest(['left', 'right']) AS x))
+SELECT k AS p_partkey, side, run::INT AS run, round(run::DOUBLE / dim, 4) AS share, first::INT::DOUBLE AS first_dark, strict::INT::DOUBLE AS first_strict FROM s""")
 def inspect_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sides = F.array(*(F.struct(F.lit(s).alias("side"), _run(_profile(F.col("p_partkey") + i * 3)).alias("run")) for i, s in enumerate(boxes.SIDES)))
-    return _t(spark, sf_dir, "part").select("p_partkey", F.explode(sides).alias("s")).select("p_partkey", "s.side", "s.run", F.round(F.col("s.run") * 100.0 / H_, 2).alias("percent"))
+    def rows(k: int) -> list[dict]:
+        out = []
+        for side, x in probes.inspect(_barred(k))["sides"].items():
+            level = side in ("top", "bottom")
+            out.append({"side": side, "run": x["bar_run_px"], "share": x["bar_run_frac"], "first_dark": x["first_line_dark_frac"] if level else None, "first_strict": x["first_line_strict_frac"] if level else None})
+        return out
+
+    return _by_part(spark, sf_dir, "side string, run int, share double, first_dark double, first_strict double", rows)
 
 
 @query("""WITH b AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)
@@ -318,18 +450,23 @@ def distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("n_sources"), F.count("*").alias("n_records"))
 
 
-@query(_VERDICT + f" SELECT p_partkey, CASE WHEN run BETWEEN 3 AND {H_ // 2} THEN round_even(least(1.0, 0.6 + 0.4 * (run / {float(H_)})) * CASE WHEN p_partkey % 3 = 0 THEN 0.92 ELSE 1.0 END, 3)::DOUBLE ELSE 0.0 END AS confidence FROM r")
+@query(f"""WITH l AS ({_LINES}), b AS (SELECT p_partkey, p_partkey % 10 AS t, sum(dark) FILTER (y < p_partkey % 10) / (p_partkey % 10 * {W_}.0) AS mean FROM l GROUP BY 1, 2)
+SELECT p_partkey, CASE WHEN t >= 3 THEN 'crop' ELSE 'noop' END AS status, CASE WHEN t >= 3 THEN round(least(1, 0.6 + 0.4 * mean), 2) ELSE 0 END::DOUBLE AS confidence FROM b""")
 def confidence_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.bround(F.least(F.lit(1.0), 0.6 + 0.4 * (F.col("run") / float(H_))) * F.when(F.col("p_partkey") % 3 == 0, 0.92).otherwise(1.0), 3)
-    return raster_edge_run(spark, sf_dir).select("p_partkey", F.when(F.col("run").between(3, H_ // 2), c).otherwise(0.0).alias("confidence"))
+    """Two decimals: a 32-bit mean of the bar's lines is behind the third."""
+
+    def make(k: int) -> np.ndarray:
+        a = _lined(k)
+        a[k % 10 :] = 200
+        return a
+
+    return _decided(spark, sf_dir, make).select("p_partkey", "status", F.round("confidence", 2).alias("confidence"))
 
 
-@query("""WITH u AS (SELECT user_id, date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, h AS hour, n::BIGINT AS n, sum(n) OVER (PARTITION BY user_id ORDER BY h)::BIGINT AS done, round(100.0 * sum(n) OVER (PARTITION BY user_id ORDER BY h) / sum(n) OVER (PARTITION BY user_id), 2)::DOUBLE AS percent FROM u""")
+@query("""WITH u AS (SELECT user_id, date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT user_id, h AS hour, n::BIGINT AS n, sum(n) OVER (PARTITION BY user_id ORDER BY h)::BIGINT AS done, round(100.0 * sum(n) OVER (PARTITION BY user_id ORDER BY h) / sum(n) OVER (PARTITION BY user_id), 2)::DOUBLE AS percent FROM u""")
 def running_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = _t(spark, sf_dir, "events").groupBy("user_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy("user_id")
-    done = F.sum("n").over(w.orderBy("hour"))
-    return u.select("user_id", "hour", "n", done.alias("done"), F.round(100.0 * done / F.sum("n").over(w), 2).alias("percent"))
+    return ledger.running(_t(spark, sf_dir, "events").select("user_id", F.date_trunc("hour", "ts").alias("hour")), "user_id", "hour")
 
 
 @query("SELECT p_partkey, 'files/' || p_partkey || '.png' AS path FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 3 <> 0")

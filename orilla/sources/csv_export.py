@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orilla.functions import payload
@@ -27,22 +29,28 @@ def resolve(columns: list[str], wanted: str) -> str:
     raise ValueError(f"no column like {wanted!r} among {columns}")
 
 
-def read_export(spark: SparkSession, path: str, image: str = "foto", ident: str = "id") -> DataFrame:
-    """delivery_id, payload and decoded bytes of every row.
+def read_export(spark: SparkSession, path: str, image: str = "foto", ident: str = "id", limit: int | None = None) -> DataFrame:
+    """delivery_id, payload and decoded bytes of every row of a file, or of all CSV files in a folder with one header.
 
-    The delimiter is sniffed from the first 8 KB, read by Spark; a data-URL split at an
-    unquoted comma is put together again from the cells after it.
+    The delimiter is sniffed from the first line. A data-URL that was split at an unquoted comma is put
+    together again from the cells after it, as many as a line has; other cells keep their places, empty or not.
     """
-    head = spark.read.format("binaryFile").load(path).selectExpr("decode(substring(content, 1, 8192), 'UTF-8') AS t").first()["t"]
-    sep = delimiter(head)
-    rows = spark.read.option("header", True).option("sep", sep).option("multiLine", True).option("escape", '"').option("maxCharsPerColumn", -1).csv(path)
-    names = [c.lstrip("﻿") for c in rows.columns]
-    rows = rows.toDF(*names)
+    lines = spark.read.text(path, lineSep="\n")
+    first = lines.limit(1).first()
+    sep = delimiter((first["value"] if first else "").rstrip("\r"))
+    options = {"sep": sep, "multiLine": True, "escape": '"', "maxCharsPerColumn": -1, "enforceSchema": True}
+    head = spark.read.options(header=True, **options).csv(path).columns
+    names = [c.lstrip("\ufeff") for c in head]
     col, key = resolve(names, image), resolve(names, ident)
-    at = names.index(col)
-    if sep == ",":
-        extra = [f"_x{i}" for i in range(4)]
-        raw = spark.read.option("header", False).option("sep", sep).option("multiLine", True).option("escape", '"').option("maxCharsPerColumn", -1).schema(", ".join(f"`{c}` string" for c in [*(f"c{i}" for i in range(len(names))), *extra])).csv(path)
-        cells = F.filter(F.array(*raw.columns), lambda c: c.isNotNull())
-        rows = raw.where(F.ltrim(F.regexp_replace("c0", "﻿", "")) != names[0]).select(F.col(f"c{names.index(key)}").alias(key), payload.repair_split_cells(cells, at).alias(col))
-    return rows.select(payload.safe_id(F.col(key)).alias("delivery_id"), F.col(col).alias("payload"), payload.decode_text(F.col(col)).alias("bytes")).withColumn("ext", payload.image_ext(F.col("bytes")))
+    at, own = names.index(col), names.index(key)
+    # no line has more cells than separators and one
+    most = lines.agg(F.max(F.size(F.split("value", "\\Q" + sep + "\\E", -1))).alias("n")).first()["n"] or 1
+    columns = [f"c{i}" for i in range(max(len(names), most))]
+    raw = spark.read.options(header=False, **options).schema(", ".join(f"{c} string" for c in columns)).csv(path)
+    title = [F.coalesce(F.regexp_replace(F.col(c), "\ufeff", ""), F.lit("")) == n for c, n in zip(columns, head if head == names else names)]
+    rows = raw.where(~reduce(Column.__and__, title)).select(F.array(*columns).alias("cells"))
+    moved = payload.split_fragments(F.col("cells"), at) if own > at else F.lit(0)
+    rows = rows.select(F.get("cells", F.lit(own) + moved).alias("id"), payload.repair_split_cells(F.col("cells"), at).alias("payload"))
+    if limit is not None:
+        rows = rows.limit(limit)
+    return rows.select(payload.safe_id(F.col("id")).alias("delivery_id"), "payload", payload.decode_text(F.col("payload")).alias("bytes")).withColumn("ext", payload.image_ext(F.col("bytes")))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # fixed values: what image columns are often called, and their types
-NAME_HINTS = ("foto", "image", "imagen", "photo", "picture", "blob", "archivo")
-TYPE_HINTS = ("BLOB", "BINARY", "BYTEA", "IMAGE")
+NAME_HINTS = ("blob", "longblob", "mediumblob", "bytea", "image", "photo", "foto", "path", "file", "data")
+TYPE_HINTS = ("blob", "bytea", "largebinary", "varbinary")
 COMMANDS = ("Command", "InsertInto", "DeleteFrom", "UpdateTable", "MergeInto", "CreateTable", "DropTable", "AlterTable", "Truncate", "ReplaceTable", "Call", "SetCatalog", "UseNamespace", "CompoundBody")
 
 
@@ -41,7 +41,7 @@ def candidates(spark: SparkSession, url: str, properties: dict[str, str] | None
         cols = con.getMetaData().getColumns(None, None, "%", "%")
         while cols.next():
             table, name, kind = cols.getString("TABLE_NAME"), cols.getString("COLUMN_NAME"), cols.getString("TYPE_NAME")
-            if not (cols.getString("TABLE_SCHEM") or "").upper().startswith("SYS") and (any(h in name.lower() for h in NAME_HINTS) or any(h in kind.upper() for h in TYPE_HINTS)):
+            if not (cols.getString("TABLE_SCHEM") or "").upper().startswith("SYS") and (any(h in name.lower() for h in NAME_HINTS) or any(h in kind.lower() for h in TYPE_HINTS)):
                 rows.append((table, name, kind))
     finally:
         con.close()

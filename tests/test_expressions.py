@@ -35,7 +35,7 @@ def test_magic_and_names(spark):
     assert one(spark, payload.safe_id(F.lit(""))) == "sin_id"
     assert one(spark, payload.stem(F.lit("x/y.z/foto.a.jpg"))) == "foto.a"
     assert one(spark, payload.file_ext(F.lit("x.y/foto"))) == ""
-    assert one(spark, payload.duration(F.lit(3725.9))) == "01h 02m 05s"
+    assert one(spark, payload.duration(F.lit(3725.9))) == "01h 02m 06s"
     assert one(spark, payload.delivery_name(F.lit(7), F.lit("A-01"), F.lit(".PNG"))) == "000007_A-01_crop.png"
 
 
