@@ -100,3 +100,23 @@ def valid_opinion(reply: Column) -> Column:
     conf = F.get_json_object(reply, "$.confidence")
     number = conf.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$") & conf.try_cast("double").between(0, 1)
     return F.coalesce((F.array_sort(keys) == F.array(F.lit("bbox_xywh"), F.lit("confidence"), F.lit("kind"))) & ints & kind & number, F.lit(False))
+
+
+# fixed values: folders and prefixes of copies that hold no personal data
+TEST_FOLDERS = ("tests", "test", "out", "fixtures", "synthetic", "sample")
+TEST_PREFIXES = ("test_", "sample_", "synth_", "synthetic_")
+
+
+def is_test_copy(path: Column) -> Column:
+    """True of files that may leave the machine: below a folder of copies, or with such a prefix."""
+    parts = F.split(F.lower(path), r"[/\\]+")
+    name = F.element_at(parts, -1)
+    folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
+    prefixed = F.exists(F.array(*(F.lit(x) for x in TEST_PREFIXES)), lambda x: F.startswith(name, x))
+    return F.coalesce(F.arrays_overlap(folders, F.array(*(F.lit(x) for x in TEST_FOLDERS))) | prefixed, F.lit(False))
+
+
+def only_test_copies(rows, path: str = "source"):  # noqa: ANN001, ANN201
+    """The rows as they are; a row whose file isn't a test copy fails the job before anything is sent."""
+    refused = F.concat(F.lit("not a test copy, refusing to send it: "), F.coalesce(F.col(path), F.lit("null")))
+    return rows.withColumn(path, F.when(is_test_copy(F.col(path)), F.col(path)).otherwise(F.raise_error(refused).cast("string")))

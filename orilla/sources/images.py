@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 
@@ -10,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orilla import storage
 from orilla.functions import payload
 
 MAX_PIXELS = 512_000_000
@@ -102,14 +102,10 @@ def write_crops(decoded: DataFrame, decisions: DataFrame, out: str) -> None:
     rows = decoded.join(decisions.where("status = 'ok'"), "source").select("image", "orientation", "crop_box", "out_name")
 
     def save(part) -> None:  # noqa: ANN001
-        os.makedirs(out, exist_ok=True)
         for r in part:
             i, b = r["image"], r["crop_box"]
             rgb = upright(to_rgb(i["data"], i["height"], i["width"], i["nChannels"]), r["orientation"])[b["y"] : b["y"] + b["h"], b["x"] : b["x"] + b["w"]]
             name = f"{out}/{r['out_name']}"
-            data = bmp(rgb) if name.lower().endswith(".bmp") else png(rgb)
-            with open(f"{name}.{os.getpid()}.part", "wb") as f:
-                f.write(data)
-            os.replace(f"{name}.{os.getpid()}.part", name)
+            storage.write(name, bmp(rgb) if name.lower().endswith(".bmp") else png(rgb))
 
     rows.foreachPartition(save)
