@@ -24,79 +24,110 @@ SIDES = ("top", "bottom", "left", "right")
 OUT = "lot string, source string, status string, method string, x int, y int, w int, h int, confidence double, quarantine_reason string, frozen boolean, seq long"
 
 
-def pattern_of(status: str, box: tuple[int, int, int, int], width: int, height: int) -> dict[str, float] | None:
-    """side -> relative thickness cut away, over 2 px; None unless the status is ok."""
-    if status not in ("ok", "crop") or not width or not height:
+Pattern = tuple[float, float, float, float]  # what is cut away of each of SIDES, as a share; 0 where a side stays
+
+
+def pattern_of(status: str, box: tuple[int, int, int, int], width: int, height: int) -> Pattern | None:
+    """The shares cut away, those of more than 2 px; None unless the status is ok."""
+    if status not in ("ok", "crop") or not (width and height):
         return None
     x, y, w, h = box
-    cut = {"top": (y, height), "bottom": (height - y - h, height), "left": (x, width), "right": (width - x - w, width)}
-    return {s: px / dim for s, (px, dim) in cut.items() if px > 2}
+    px = np.array([y, height - y - h, x, width - x - w])
+    return tuple((np.where(px > 2, px, 0) / (height, height, width, width)).tolist())
 
 
-def compatible(a: dict[str, float] | None, b: dict[str, float] | None) -> bool:
+def compatible(a: Pattern | None, b: Pattern | None) -> bool:
+    """Both none, or the same sides with shares within the tolerance."""
     if a is None or b is None:
-        return a is None and b is None
-    return a.keys() == b.keys() and all(abs(a[s] - b[s]) <= TOLERANCE for s in a)
+        return a is b
+    p, q = np.array(a), np.array(b)
+    return bool(((p > 0) == (q > 0)).all() and (np.abs(p - q) <= TOLERANCE).all())
 
 
 class Fold:
-    """The state of one lot; ``state`` is JSON, for streaming."""
+    """The state of one lot; ``state`` is JSON, for streaming.
+
+    What an image means for the pattern is an event; what an event does depends on nothing else:
+
+    event     when                                     then
+    hit       the frozen pattern cut it                one more since; after RECALIBRATE of them the pattern is let go
+    sample    nothing is frozen                        joins the window; if the last FREEZE agree, the first of them freezes
+    agree     fresh, and as frozen, or without a cut   joins the window
+    clash     fresh, and other than frozen             the pattern is let go, and this one begins the window
+    """
 
     def __init__(self, state: str | None = None) -> None:
-        s: dict[str, Any] = json.loads(state) if state else {}
-        self.frozen, self.window, self.since = s.get("frozen"), s.get("window", []), s.get("since", 0)
-        self.shown, self.left, self.seq = s.get("shown"), s.get("left", 0), s.get("seq", 0)
+        kept = json.loads(state) if state else {}
+        self.frozen: Pattern | None = None
+        self.window: list[Pattern | None] = []
+        self.shown: Pattern | None = None
+        self.since = self.left = self.seq = 0
+        for name, value in kept.items():
+            setattr(self, name, value)
 
     @property
     def state(self) -> str:
         return json.dumps(vars(self))
 
-    def current(self) -> dict[str, float] | None:
+    def current(self) -> Pattern | None:
         """The pattern that the next image sees; begins a chunk where the last one ended."""
         if self.left == 0:
-            self.shown, self.left = self.frozen, CHUNK if self.frozen is not None else FREEZE
+            self.shown, self.left = self.frozen, FREEZE if self.frozen is None else CHUNK
         self.left -= 1
         self.seq += 1
         return self.shown
 
-    def learn(self, status: str, method: str | None, found: dict[str, float] | None) -> None:
-        """Takes in one image's outcome. A record without a method, as after a crash, counts as fresh."""
-        if status in ("ok", "crop") and method == "d0-cache" and self.frozen is not None:
+    def event(self, status: str, method: str | None, found: Pattern | None) -> str:
+        """A record without a method, as after a crash, counts as fresh."""
+        if self.frozen is None:
+            return "sample"
+        if method == "d0-cache" and status in ("ok", "crop"):
+            return "hit"
+        return "agree" if found is None or compatible(found, self.frozen) else "clash"
+
+    def learn(self, status: str, method: str | None, found: Pattern | None) -> None:
+        """Takes in one image's outcome."""
+        event = self.event(status, method, found)
+        if event == "hit":
             self.since += 1
             if self.since >= RECALIBRATE:
-                self.frozen, self.window, self.since = None, [], 0
-            return
-        self.window = [*self.window, found][-WINDOW:]
-        if self.frozen is None:
-            last = self.window[-FREEZE:]
-            if len(last) == FREEZE and last[0] is not None and all(compatible(p, last[0]) for p in last):
-                self.frozen = dict(last[0])
-        elif found is not None and not compatible(found, self.frozen):
-            self.frozen, self.window, self.since = None, [found], 0
+                self._let_go([])
+        elif event == "clash":
+            self._let_go([found])
+        else:
+            self.window = [*self.window, found][-WINDOW:]
+            first, *rest = self.window[-FREEZE:]
+            if event == "sample" and len(rest) == FREEZE - 1 and first is not None and all(compatible(first, p) for p in rest):
+                self.frozen = first
+
+    def _let_go(self, window: list[Pattern | None]) -> None:
+        self.frozen, self.window, self.since = None, window, 0
 
 
-def cached(frozen: dict[str, float] | None, row: dict) -> tuple[str, tuple[int, int, int, int], str | None] | None:
+def cached(frozen: Pattern | None, row: dict) -> tuple[str, tuple[int, int, int, int], str | None] | None:
     """The frozen pattern's verdict on an image, from its line profiles; None where it doesn't verify."""
     if frozen is None:
         return None
-    w, h, step = row["width"], row["height"], row["frozen_step"]
-    if not frozen:
-        return "noop", (0, 0, w, h), None
-    t = {s: round(f * (h if s in ("top", "bottom") else w)) for s, f in frozen.items()}
-    box = (t.get("left", 0), t.get("top", 0), w - t.get("left", 0) - t.get("right", 0), h - t.get("top", 0) - t.get("bottom", 0))
-    if min(t.values()) <= 0 or box[2] < 1 or box[3] < 1:
+    width, height, step = row["width"], row["height"], row["frozen_step"]
+    whole = (0, 0, width, height)
+    if not any(frozen):
+        return "noop", whole, None
+    px = [round(f * dim) for f, dim in zip(frozen, (height, height, width, width))]
+    top, bottom, left, right = px
+    w, h = width - left - right, height - top - bottom
+    if any(f and not n for f, n in zip(frozen, px)) or min(w, h) < 1:
         return None
-    if 1 - box[2] * box[3] / (w * h) > 0.5:
-        return "quarantine", (0, 0, w, h), "crop_removes_majority"
+    if w * h < 0.5 * width * height:
+        return "quarantine", whole, "crop_removes_majority"
     if row["frozen_luma_mean"] < 0.15 and row["frozen_bright_frac"] < 0.005:
-        return "quarantine", (0, 0, w, h), "uniform_dark_image"
-    for s, px in t.items():
-        own = row["frozen_lines"]["rows" if s in ("top", "bottom") else "cols"]
-        dim = h if s in ("top", "bottom") else w
-        part = slice(0, max(1, px // step)) if s in ("top", "left") else slice((dim - px) // step, None)
-        if np.mean(own["dark"][part]) < 0.5 or np.mean(own["bright"][part]) > 0.10:
-            return None
-    return "crop", box, None
+        return "quarantine", whole, "uniform_dark_image"
+    strips = {"rows": (height, top, bottom), "cols": (width, left, right)}
+    for axis, (dim, near, far) in strips.items():
+        dark, bright = (np.asarray(row["frozen_lines"][axis][k]) for k in ("dark", "bright"))
+        for n, part in ((near, slice(0, max(1, near // step))), (far, slice((dim - far) // step, None))):
+            if n and (dark[part].mean() < 0.5 or bright[part].mean() > 0.10):
+                return None
+    return "crop", (left, top, w, h), None
 
 
 def outcome(fold: Fold, row: dict) -> dict:
@@ -111,7 +142,8 @@ def outcome(fold: Fold, row: dict) -> dict:
         if not deeper:
             status, method, box, conf, reason = hit[0], "d0-cache", b, 0.0 if hit[0] == "quarantine" else 0.9, hit[2]
     fold.learn(status, method, pattern_of(status, box, row["width"], row["height"]))
-    return {"lot": row["lot"], "source": row["source"], "status": status, "method": method, "x": box[0], "y": box[1], "w": box[2], "h": box[3], "confidence": conf, "quarantine_reason": reason, "frozen": shown is not None, "seq": fold.seq}
+    found = {"status": status, "method": method, **dict(zip("xywh", box)), "confidence": conf, "quarantine_reason": reason}
+    return {"lot": row["lot"], "source": row["source"], **found, "frozen": shown is not None, "seq": fold.seq}
 
 
 NARROW = ("lot", "source", "width", "height", "status", "method", "x", "y", "w", "h", "confidence", "quarantine_reason", "frozen_step", "frozen_luma_mean", "frozen_bright_frac", "frozen_lines")

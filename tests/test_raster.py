@@ -104,8 +104,8 @@ def test_frozen_check_agrees_with_the_fold(spark):
     df = spark.createDataFrame(rows, f"source string, {raster.PROFILE}").withColumn("t", F.expr("map('bottom', 0.166667D)"))
     got = {r["source"]: r["v"] for r in df.select("source", frozen_check(F.col("width"), F.col("height"), F.col("frozen_step"), F.col("frozen_luma_mean"), F.col("frozen_bright_frac"), F.col("frozen_lines"), F.col("t")).alias("v")).collect()}
     assert tuple(got["a"]["crop_box"]) == (0, 0, 400, 250) and got["b"] is None
-    assert d0.cached({"bottom": 0.166667}, rows[0])[1] == (0, 0, 400, 250)
-    assert d0.cached({"bottom": 0.166667}, rows[1]) is None
+    assert d0.cached((0.0, 0.166667, 0.0, 0.0), rows[0])[1] == (0, 0, 400, 250)
+    assert d0.cached((0.0, 0.166667, 0.0, 0.0), rows[1]) is None
 
 
 def test_lot_freezes_after_five(spark):
@@ -119,13 +119,14 @@ def test_lot_freezes_after_five(spark):
 
 def test_fold_unfreezes_and_recalibrates():
     f = d0.Fold()
+    bottom, left = (0.0, 0.1, 0.0, 0.0), (0.0, 0.0, 0.1, 0.0)
     for _ in range(5):
         f.current()
-        f.learn("crop", "projection", {"bottom": 0.1})
-    assert f.frozen == {"bottom": 0.1}
+        f.learn("crop", "projection", bottom)
+    assert f.frozen == bottom and f.event("ok", None, bottom) == "agree" and f.event("noop", "projection", None) == "agree"
     again = d0.Fold(f.state)
-    again.learn("crop", "projection", {"left": 0.1})
-    assert again.frozen is None and again.window == [{"left": 0.1}]
+    again.learn("crop", "projection", left)
+    assert again.frozen is None and again.window == [left]
     for _ in range(25):
         f.learn("crop", "d0-cache", None)
     assert f.frozen is None
