@@ -211,8 +211,12 @@ def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Itera
         yield held
 
 
-def _group_pairs(t: pa.Table, percent: int, most: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (x, y) of one group of blocks that share a signature, differ in root, and may link."""
+def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (x, y) of one group of blocks that share a signature, differ in root, and may link.
+
+    Members meet all others ``chunk`` at a time, so memory grows with the group's size alone.
+    With ``most``, each member's likeliest partners come out.
+    """
     t = t.combine_chunks()
     i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
     c, root, n, block = (t.column(k).to_numpy() for k in ("c", "root", "n", "block"))
@@ -223,37 +227,41 @@ def _group_pairs(t: pa.Table, percent: int, most: int | None) -> tuple[np.ndarra
     flat, at = sigs.flatten().to_numpy(), np.diff(sigs.offsets.to_numpy())
     owner = np.repeat(np.arange(m), at)
     order = np.argsort(flat, kind="stable")
-    edges = np.flatnonzero(np.diff(flat[order])) + 1
-    share = np.zeros((m, m), bool)
-    for own in np.split(owner[order], edges):
-        if len(own) > 1:
-            share[np.ix_(own, own)] = True
-    share &= (root[:, None] != root[None, :]) & ((block[:, None] == i) & (block[None, :] == j) | (block[:, None] == j) & (block[None, :] == i))
-    share &= (100 * n[:, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[:, None])
-    p, q = np.nonzero(np.triu(share, 1))
-    if not len(p):
-        return c[:0], c[:0]
+    owners = [x for x in np.split(owner[order], np.flatnonzero(np.diff(flat[order])) + 1) if len(x) > 1]
     hist = np.frombuffer(b"".join(t.column("hist").to_pylist()), np.uint8).reshape(m, BUCKETS)
-    ok, near = np.zeros(len(p), bool), np.zeros(len(p))
-    for a in range(0, len(p), 20_000):
-        x, y = p[a : a + 20_000], q[a : a + 20_000]
-        both = np.minimum(hist[x], hist[y])
-        top, total = both.sum(1, dtype=np.int64), n[x] + n[y]
-        ok[a : a + 20_000] = (both == 255).any(1) | (100 * top >= percent * (total - top))
-        near[a : a + 20_000] = top / (total - top)
-    p, q, near = p[ok], q[ok], near[ok]
-    if most is not None and len(p):
-        # for each member its likeliest partners first; the others wait for the last round
-        who, rank = np.concatenate([p, q]), np.zeros(2 * len(p), np.int64)
-        order = np.lexsort((-np.concatenate([near, near]), who))
-        first = np.concatenate([[0], np.flatnonzero(np.diff(who[order])) + 1])
-        rank[order] = np.arange(len(who)) - np.repeat(first, np.diff(np.append(first, len(who))))
-        ok = (rank[: len(p)] < most) | (rank[len(p) :] < most)
-        p, q = p[ok], q[ok]
-    return np.minimum(c[p], c[q]), np.maximum(c[p], c[q])
-
-
-def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent: int, most: int | None, block: int = 768) -> DataFrame:
+    for a in range(0, m, chunk):
+        z = min(m, a + chunk)
+        share = np.zeros((z - a, m), bool)
+        for own in owners:  # ascending, as the sort is stable
+            lo, hi = np.searchsorted(own, [a, z])
+            if hi > lo:
+                share[np.ix_(own[lo:hi] - a, own)] = True
+        mine = slice(a, z)
+        share &= (root[mine, None] != root) & ((block[mine, None] == i) & (block == j) | (block[mine, None] == j) & (block == i))
+        share &= (100 * n[mine, None] >= percent * n) & (100 * n >= percent * n[mine, None])
+        p, q = np.nonzero(share)
+        p += a
+        if most is None:  # each pair once
+            p, q = p[p < q], q[p < q]
+        ok, near = np.zeros(len(p), bool), np.zeros(len(p))
+        for k in range(0, len(p), 20_000):
+            x, y = p[k : k + 20_000], q[k : k + 20_000]
+            both = np.minimum(hist[x], hist[y])
+            top, total = both.sum(1, dtype=np.int64), n[x] + n[y]
+            ok[k : k + 20_000] = (both == 255).any(1) | (100 * top >= percent * (total - top))
+            near[k : k + 20_000] = top / (total - top)
+        p, q, near = p[ok], q[ok], near[ok]
+        if most is not None and len(p):
+            # the likeliest partners first; the others wait for the last round
+            order = np.lexsort((-near, p))
+            first = np.concatenate([[0], np.flatnonzero(np.diff(p[order])) + 1])
+            rank = np.arange(len(p)) - np.repeat(first, np.diff(np.append(first, len(p))))
+            p, q = p[order][rank < most], q[order][rank < most]
+        if len(p):
+            yield np.minimum(c[p], c[q]), np.maximum(c[p], c[q])
+
+
+def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent: int, most: int | None, block: int = 4096) -> DataFrame:
     """Pairs of classes in different components that share a signature and may link.
 
     All classes of one signature have the same hub, so rows are gathered by hub, each
@@ -269,8 +277,7 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _rows_of_groups(batches, ["hub", "i", "j"]):
-            x, y = _group_pairs(t, percent, most)
-            if len(x):
+            for x, y in _group_pairs(t, percent, most):
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     return dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(run, "x long, y long").distinct()
