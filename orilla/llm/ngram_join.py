@@ -43,6 +43,7 @@ from orilla.llm import textkernel as tk
 from orilla.llm.components import components
 
 BUCKETS = 256
+FEW, SMALL = 64, 512  # buckets of sets of at most so many tokens
 CHUNK = 2_500_000
 _U = np.uint64
 
@@ -92,12 +93,40 @@ def signatures(tokens: np.ndarray, at: np.ndarray, frequent: np.ndarray, percent
     return sig[order], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=rows))]).astype(np.int64)
 
 
-def _histograms(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Counts of each row's tokens in buckets, as bytes; 255 stands for that or more."""
-    rows = len(at) - 1
-    row = np.repeat(np.arange(rows), at[1:] - at[:-1])
-    c = np.bincount(row * BUCKETS + (tokens >> _U(56)).astype(np.int64), minlength=rows * BUCKETS)
-    return np.minimum(c, 255).astype(np.uint8).reshape(rows, BUCKETS)
+def _histograms(tokens: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Counts of each row's tokens in buckets, as bytes; 255 stands for that or more. Small sets have fewer buckets."""
+    n = at[1:] - at[:-1]
+    rows = len(n)
+    row = np.repeat(np.arange(rows), n)
+    few = np.bincount(row * FEW + (tokens >> _U(58)).astype(np.int64), minlength=rows * FEW).reshape(rows, FEW)
+    out = [h.tobytes() for h in np.minimum(few, 255).astype(np.uint8)]
+    for r in np.flatnonzero(n > SMALL).tolist():
+        own = np.bincount((tokens[at[r] : at[r + 1]] >> _U(56)).astype(np.int64), minlength=BUCKETS)
+        out[r] = np.minimum(own, 255).astype(np.uint8).tobytes()
+    return out
+
+
+class Histograms:
+    """Histograms of rows, those with all buckets also folded to the fewer."""
+
+    def __init__(self, raw: list[bytes]) -> None:
+        wide = np.array([len(h) == BUCKETS for h in raw], bool)
+        self.place = np.where(wide, np.cumsum(wide) - 1, -1)
+        self.all = np.frombuffer(b"".join(h for h, w in zip(raw, wide) if w), np.uint8).reshape(-1, BUCKETS)
+        self.few = np.empty((len(raw), FEW), np.uint8)
+        self.few[~wide] = np.frombuffer(b"".join(h for h, w in zip(raw, wide) if not w), np.uint8).reshape(-1, FEW)
+        self.few[wide] = np.minimum(self.all.reshape(-1, FEW, BUCKETS // FEW).sum(2, dtype=np.int64), 255)
+
+    def bound(self, x: np.ndarray, other: Histograms, y: np.ndarray) -> np.ndarray:
+        """At most so many tokens are common to row x and the other's row y; a large number where buckets are full."""
+        both = np.minimum(self.few[x], other.few[y])
+        most = both.sum(1, dtype=np.int64)
+        most[(both == 255).any(1)] = 1 << 40
+        wide = np.flatnonzero((self.place[x] >= 0) & (other.place[y] >= 0))
+        if len(wide):
+            both = np.minimum(self.all[self.place[x[wide]]], other.all[other.place[y[wide]]])
+            most[wide] = np.where((both == 255).any(1), 1 << 40, both.sum(1, dtype=np.int64))
+        return most
 
 
 def frequent_tokens(docs: DataFrame, text_col: str, width: int, most: int, least: int) -> np.ndarray:
@@ -123,8 +152,7 @@ def _index(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int
             for a, z in pieces.row_slices(b.column(2), CHUNK):
                 tokens, at = _sets(b.column(2).slice(a, z - a), width)
                 sig, cut = signatures(tokens, at, held.value, percent)
-                hist = _histograms(tokens, at).tobytes()
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(1).slice(a, z - a), pa.array(_set_ids(tokens, at), pa.binary()), pa.array(at[1:] - at[:-1]), tk.list_array(sig.view(np.int64), cut, pa.int64()), pa.array([hist[BUCKETS * i : BUCKETS * i + BUCKETS] for i in range(z - a)], pa.binary())], ["id", "text_key", "set_id", "n", "sigs", "hist"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(1).slice(a, z - a), pa.array(_set_ids(tokens, at), pa.binary()), pa.array(at[1:] - at[:-1]), tk.list_array(sig.view(np.int64), cut, pa.int64()), pa.array(_histograms(tokens, at), pa.binary())], ["id", "text_key", "set_id", "n", "sigs", "hist"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -154,11 +182,11 @@ def _bounded(percent: int):  # noqa: ANN202
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in ("hx", "hy"))
+            x, y = (Histograms(b.column(c).to_pylist()) for c in ("hx", "hy"))
             n = b.column("nx").to_numpy() + b.column("ny").to_numpy()
-            both = np.minimum(x, y)
-            most = both.sum(1, dtype=np.int64)
-            ok = (both == 255).any(1) | (100 * most >= percent * (n - most))
+            same = np.arange(b.num_rows)
+            most = np.minimum(x.bound(same, y, same), n // 2)
+            ok = 100 * most >= percent * (n - most)
             yield b.select(["x", "y"]).filter(pa.array(ok))
 
     return run
@@ -228,7 +256,7 @@ def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 512)
     owner = np.repeat(np.arange(m), at)
     order = np.argsort(flat, kind="stable")
     owners = [x for x in np.split(owner[order], np.flatnonzero(np.diff(flat[order])) + 1) if len(x) > 1]
-    hist = np.frombuffer(b"".join(t.column("hist").to_pylist()), np.uint8).reshape(m, BUCKETS)
+    hist = Histograms(t.column("hist").to_pylist())
     for a in range(0, m, chunk):
         z = min(m, a + chunk)
         share = np.zeros((z - a, m), bool)
@@ -246,10 +274,10 @@ def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 512)
         ok, near = np.zeros(len(p), bool), np.zeros(len(p))
         for k in range(0, len(p), 20_000):
             x, y = p[k : k + 20_000], q[k : k + 20_000]
-            both = np.minimum(hist[x], hist[y])
-            top, total = both.sum(1, dtype=np.int64), n[x] + n[y]
-            ok[k : k + 20_000] = (both == 255).any(1) | (100 * top >= percent * (total - top))
-            near[k : k + 20_000] = top / (total - top)
+            total = n[x] + n[y]
+            most_common = np.minimum(hist.bound(x, hist, y), np.minimum(n[x], n[y]))
+            ok[k : k + 20_000] = 100 * most_common >= percent * (total - most_common)
+            near[k : k + 20_000] = most_common / (total - most_common)
         p, q, near = p[ok], q[ok], near[ok]
         if most is not None and len(p):
             # the likeliest partners first; the others wait for the last round

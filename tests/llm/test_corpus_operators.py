@@ -368,3 +368,18 @@ def test_toxicity_stage_takes_the_operators_verdict(spark, tmp_path, monkeypatch
     marked = {r["doc_id"] for r in toxicity.score(docs, model).where("predicted = 1").collect()}
     assert marked == {1, 2}
     assert pipeline_stages.toxicity_stage(spark, docs, sf).count() == 0
+
+
+def test_histogram_bound_is_never_too_low():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(rng.choice(pool, n)) for n in (0, 1, 40, 400, 512, 513, 700, 5000) for _ in range(6)]
+    sets.append(np.arange(3000, dtype=np.uint64))  # full buckets
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    h = ngram_join.Histograms(ngram_join._histograms(np.concatenate(sets), at))
+    x, y = (v.ravel() for v in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    most = h.bound(x, h, y)
+    common = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y)])
+    assert (most >= common).all() and (most[common == 0] < 1 << 40).any()
