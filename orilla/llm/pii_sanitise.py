@@ -7,7 +7,7 @@ content is ``IC(e) = log2(N / n(e))``, and a term of its documents discloses
 ``PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t)))`` of it, all counts being over
 documents. Terms whose share ``PMI / IC`` exceeds a threshold are generalised to
 their class, and beyond a second threshold removed, wherever they occur in the
-entity's documents. Terms are whole words; one that a pattern's span touches with a
+entity's documents (``sanitise`` gives the texts, ``find_pii`` the spans). Counts are exact. Terms are whole words; one that a pattern's span touches with a
 letter is none. Entities and pairs need a least support in different texts, so that
 copies of one text prove nothing.
 
@@ -36,6 +36,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 MARK = "\ufdd0"  # not a character of any text
 TERM = rf"(?<![\p{{L}}{MARK}])\p{{L}}{{3,}}+(?!{MARK})"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+PART = 256
 
 
 def _matches(text: Column, pattern: str, kind: int, base: Column | None = None, among: Column | None = None) -> Column:
@@ -44,15 +45,20 @@ def _matches(text: Column, pattern: str, kind: int, base: Column | None = None,
     gaps = F.split(text, pattern, -1)
     at = F.coalesce(base, F.lit(0)).cast("int") if base is not None else F.lit(0)
     none = F.array().cast(SPAN)
-    fold = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), found.alias("hit")),
-        F.struct(at.alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(x["hit"].isNull() | (~F.array_contains(among, F.lower(x["hit"])) if among is not None else F.lit(False)), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), F.lit(kind).alias("kind"), (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), x["hit"].alias("value"))))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["hit"].alias("value")))
+        skip = x["hit"].isNull() if among is None else x["hit"].isNull() | ~F.array_contains(among, F.lower(x["hit"]))
+        full = F.size(acc["open"]) >= PART
+        # spans gather in parts, so that long lists aren't copied for every match
+        done = F.when(~skip & full, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"])
+        left = F.when(skip, acc["open"]).when(full, one).otherwise(F.concat(acc["open"], one))
+        return F.struct(end.alias("at"), done.alias("done"), left.alias("open"))
+
+    first = F.struct(at.alias("at"), F.array().cast(f"array<{SPAN}>").alias("done"), none.alias("open"))
+    fold = F.aggregate(F.arrays_zip(gaps.alias("gap"), found.alias("hit")), first, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["open"]))
     return F.when(F.size(found) > 0, fold).otherwise(none)
 
 
@@ -106,7 +112,7 @@ def disclosing(found: DataFrame, documents: DataFrame, support: int, generalise:
     Candidate pairs have the support; only their terms are counted over the corpus.
     The candidates' count is checked before they are broadcast; else both sides shuffle.
     """
-    total = documents.agg(F.approx_count_distinct("text_key", 0.02).alias("n")).first()["n"] or 1
+    total = documents.select("text_key").distinct().count() or 1
     entities = found.select("text_key", F.explode("entities").alias("entity")).distinct()
     # n_e bounds n_et from above, so that rarer entities have no pair
     n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= support) & (F.col("n_e") < total))
@@ -128,22 +134,18 @@ def disclosing(found: DataFrame, documents: DataFrame, support: int, generalise:
         return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit(False).alias("removed"))
     bags = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0)))).alias("term"), "text_key")
     bags = bags.join(F.broadcast(terms) if n_terms <= broadcast_rows else terms, "term", "left_semi")
-    n_t = bags.groupBy("term").agg(F.approx_count_distinct("text_key", 0.02).alias("n_t"))
+    n_t = bags.groupBy("term").agg(F.count_distinct("text_key").alias("n_t"))
     ic = F.log2(F.lit(float(total)) / F.col("n_e"))
     pmi = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_near", "n_et")))
     rated = pairs.join(n_t, "term").withColumn("share", pmi / ic)
     return rated.where(F.col("share") >= generalise).select("entity", "term", "share", (F.col("share") >= remove).alias("removed"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
-    """id, counts, and all spans: the patterns' and those of terms to generalise or remove.
-
-    Columns: id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans.
-    """
+def _spans(docs: DataFrame, id_col: str, text_col: str, support: int, generalise: float, remove: float) -> tuple[DataFrame, DataFrame]:
+    """(id, text_key, base of every row; text_key, base, masked, terms of every text that has spans)."""
     text = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     documents = text.select(F.xxhash64("text").alias("text_key"), "text")
-    hit = text.withColumn("base", base_spans(F.col("text")))
-    hit = hit.withColumn("text_key", F.xxhash64("text"))
+    hit = text.withColumn("base", base_spans(F.col("text"))).withColumn("text_key", F.xxhash64("text"))
     some = F.size("base") > 0
     entities = F.array_distinct(F.transform("base", lambda s: F.lower(s["value"])))
     slim = workspace.materialize(hit.select(F.col(id_col).alias("id"), "text_key", "base", F.when(some, entities).alias("entities"), F.when(some, masked(F.col("text"))).alias("masked")), "pii")
@@ -151,11 +153,45 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     told = disclosing(found, documents, support, generalise, remove)
     # rows of one text get the same spans
     each = found.dropDuplicates(["text_key"])
-    marked = each.select("text_key", F.explode("entities").alias("entity")).join(told, "entity").groupBy("text_key").agg(F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("mild"), F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("hard"))
-    both = F.concat(*(F.transform(_matches(F.col("masked"), TERM, k, among=F.col(c)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))) for k, c in ((4, "mild"), (5, "hard"))))
-    extra = each.join(marked, "text_key").select("text_key", both.alias("terms"))
-    out = slim.join(extra, "text_key", "left")
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    sets = (F.collect_set(F.when(c, F.col("term"))).alias(n) for n, c in (("mild", ~F.col("removed")), ("hard", F.col("removed"))))
+    marked = each.select("text_key", F.explode("entities").alias("entity")).join(told, "entity").groupBy("text_key").agg(*sets)
+    slim_span = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+    both = F.concat(*(F.transform(_matches(F.col("masked"), TERM, k, among=F.col(c)), slim_span) for k, c in ((4, "mild"), (5, "hard"))))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    extra = each.join(marked, "text_key", "left").select("text_key", F.transform("base", slim_span).alias("base"), "masked", F.when(F.col("mild").isNull(), none).otherwise(both).alias("terms"))
+    return slim.select("id", "text_key", F.transform("base", slim_span).alias("base")), extra
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
+    """id, counts, and all spans: the patterns' and those of terms to generalise or remove.
+
+    Columns: id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans.
+    """
+    slim, extra = _spans(docs, id_col, text_col, support, generalise, remove)
+    out = slim.join(extra.where(F.size("terms") > 0).select("text_key", "terms"), "text_key", "left")
     terms = F.coalesce("terms", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
-    return out.select(F.col("id").alias(id_col), *(count(k).alias(f"n_{n}") for k, n in enumerate(KINDS)), F.size(terms).cast("long").alias("n_term"), F.sha2(_join(base, KINDS), 256).alias("base_sha256"), _join(F.array_sort(F.concat(base, terms)), (*KINDS, "generalise", "remove")).alias("spans"))
+    return out.select(F.col("id").alias(id_col), *(count(k).alias(f"n_{n}") for k, n in enumerate(KINDS)), F.size(terms).cast("long").alias("n_term"), F.sha2(_join(F.col("base"), KINDS), 256).alias("base_sha256"), _join(F.array_sort(F.concat("base", terms)), (*KINDS, "generalise", "remove")).alias("spans"))
+
+
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
+    """All columns, the text with its spans replaced: patterns by their kind in brackets, terms to generalise by their
+    class ([name] for one with a capital, else [word]), terms to remove by nothing. A null text stays null."""
+    _, extra = _spans(docs, id_col, text_col, support, generalise, remove)
+    text = F.col("masked")
+    of = F.array(*(F.lit(f"[{k}]") for k in KINDS))
+
+    def step(acc: Column, s: Column) -> Column:
+        word = F.substring(text, s["start"] + 1, F.lit(1))
+        label = F.when(s["kind"] < len(KINDS), F.get(of, s["kind"])).when(s["kind"] == len(KINDS) + 1, "").when(word.rlike(r"\p{Lu}"), "[name]").otherwise("[word]")
+        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        # of spans that overlap the first one's label stands
+        shown = F.when(s["start"] >= acc["at"], F.concat(gap, label)).otherwise("")
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], shown).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    clean = F.aggregate(F.array_sort(F.concat("base", "terms")), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    cleaned = extra.select("text_key", clean.alias("clean"))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("text_key"))
+    joined = rows.join(cleaned.hint("merge"), "text_key", "left")
+    return joined.select(*(F.coalesce("clean", F.col("row")[c]).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import public_tokenizers
 import pyarrow as pa
@@ -408,3 +409,63 @@ def test_secret_scan_long_runs():
     secret_scan.candidates("=".join(["Zb1_-f+/" * 4] * 20_000), [], 0.001)
     assert time.time() - t < 10
     assert secret_scan.ordinary(np.zeros(0, np.uint8)).sum() == 0
+
+
+def test_disclosing_terms_against_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"{a}{b}{c}" for a in ("lor", "nim", "Tas", "vek") for b in ("ab", "ed", "ou") for c in ("in", "or", "us")]
+    mails = [f"who{k}@mail{k}.org" for k in range(6)]
+    texts = []
+    for i in range(160):
+        own = rng.sample(words[: 18 if i % 2 else 36], 6)
+        k = rng.randrange(12)
+        if k < 6:
+            own += [mails[k], f"Secret{'abcdef'[k]}word", "ordinary"]
+            rng.shuffle(own)
+        texts.append(" ".join(own))
+    texts += texts[:40] + [None, ""]
+    distinct = {t or "" for t in texts}
+    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    bag = lambda t: set(re.findall(r"[^\W\d_]{3,}", t.lower()))
+    beside = {t: bag(mail.sub(" ", t)) for t in distinct if mail.search(t)}
+    entities = {t: set(mail.findall(t)) for t in beside}
+    n = len(distinct)
+    n_t = Counter(w for t in distinct for w in bag(t))
+    n_near = Counter(w for b in beside.values() for w in b)
+    n_e = Counter(e for own in entities.values() for e in own)
+    n_et = Counter((e, w) for t, own in entities.items() for e in own for w in beside[t])
+    kind = {}
+    for (e, w), both in n_et.items():
+        if both >= 3 and n_e[e] >= 3 and n_e[e] < n:
+            share = math.log2(n * both / (n_e[e] * max(n_t[w], n_near[w], both))) / math.log2(n / n_e[e])
+            if share >= 0.8:
+                kind[e, w] = "remove" if share >= 0.95 else "generalise"
+    want = {}
+    for t, own in entities.items():
+        marks = set()
+        for m in re.finditer(r"[^\W\d_]{3,}", t):
+            if any(a.start() <= m.start() < a.end() for a in mail.finditer(t)):
+                continue
+            marks |= {f"{kind[e, m.group().lower()]}:{m.start()}:{m.end()}" for e in own if (e, m.group().lower()) in kind}
+        want[t] = marks
+    df = table(spark, texts)
+    got = by_id(pii_sanitise.find_pii(df))
+    for i, t in enumerate(texts):
+        found = {s for s in got[i]["spans"].split(",") if s.startswith(("generalise", "remove"))}
+        assert found == want.get(t or "", set()), t
+    assert sum(map(len, want.values())) > 40
+    clean = {r["doc_id"]: r["text"] for r in pii_sanitise.sanitise(df).collect()}
+    assert clean[len(texts) - 2] is None and clean[len(texts) - 1] == ""
+    for i, t in enumerate(texts):
+        assert not mail.search(clean[i] or "")
+        if t and t not in beside:
+            assert clean[i] == t
+        elif t:
+            assert "[email]" in clean[i] and not re.search("Secret[a-f]word", clean[i])
+
+
+def test_pii_many_spans(spark):
+    """Thousands of matches in one text: no list is copied for each of them."""
+    text = " ".join(f"a{i}@b.org" for i in range(20_000))
+    row = pii_sanitise.find_pii(table(spark, [text])).first()
+    assert row["n_email"] == 20_000 and row["spans"].startswith("email:0:8,email:9:17")
