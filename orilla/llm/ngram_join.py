@@ -312,10 +312,12 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent:
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", frequent: int = 500_000, least: int = 32, partners: int = 4) -> DataFrame:
-    """id, text_key, n, n_links, component_id of every row.
+    """id, text_key, n, n_links, component_id, component of every row.
 
     component_id is the smallest id reachable by links; n_links counts the other
     classes found linked with the row's class, which is enough to connect them all.
+    component names the component itself (null for an empty set): where ids are null or
+    stand for several texts, different components may have one component_id.
     """
     often = frequent_tokens(docs, text_col, width, frequent, least)
     rows = workspace.materialize(_index(docs, id_col, text_col, width, percent, often), "sets")
@@ -346,17 +348,17 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
     degree = links.select(F.col("x").alias("c")).union(links.select(F.col("y").alias("c"))).groupBy("c").agg(F.count("*").alias("n_links"))
     member = classes.select("set_id", "c", "id").join(root.hint("merge"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least_id = member.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_set = workspace.materialize(member.join(least_id.hint("merge"), "root").join(degree.hint("merge"), "c", "left").select("set_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "groups")
+    of_set = workspace.materialize(member.join(least_id.hint("merge"), "root").join(degree.hint("merge"), "c", "left").select("set_id", "component_id", "root", F.coalesce("n_links", F.lit(0)).alias("n_links")), "groups")
     out = rows.select("id", "text_key", "n", "set_id").join(of_set.hint("merge"), "set_id", "left")
-    return out.select(F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.select(F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.col("root").alias("component"))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group, that of the smallest id; rows with an empty set all stay, those that repeat once."""
     found = groups(docs, width, percent, id_col, text_col)
-    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_key")).alias("k")).select("k.id", "k.text_key")
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_key")).alias("k")).select("k.id", "k.text_key")
     empty = found.where("n_shingles = 0").select(F.col(id_col).alias("id"), "text_key")
     stay = first.unionByName(empty).distinct().select(F.col("id").alias("_id"), F.col("text_key").alias("_key"))
-    own = docs.withColumn("_text_key", F.xxhash64(text_col))
-    kept = own.join(stay, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_key"]).select(*docs.columns)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].alias("_id0"), F.xxhash64(docs[text_col]).alias("_key0"))
+    kept = rows.join(stay.hint("merge"), F.col("_id0").eqNullSafe(F.col("_id")) & (F.col("_key0") == F.col("_key")), "left_semi")
+    return kept.dropDuplicates(["_id0", "_key0"]).select("row.*")

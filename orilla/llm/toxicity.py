@@ -219,14 +219,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_arrays([pa.array([m.ordinary], pa.binary()), pa.array([m.toxic], pa.binary()), pa.array([list(m.weights)], pa.list_(pa.float64()))], ["ordinary", "toxic", "weights"])
 
     m = rows.coalesce(1).mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
+    if m is None:  # no labelled text at all: no task has run
+        return train([], [])
     return Model(bytes(m["ordinary"]), bytes(m["toxic"]), tuple(m["weights"]))
 
 
 _gains: dict[str, Gains] = {}
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, carry: bool = False) -> DataFrame:
-    """id, score, predicted of every row; with ``carry`` all columns and a column ``predicted``."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, carry: str | None = None) -> DataFrame:
+    """id, score, predicted of every row; with ``carry`` all columns and the prediction under that name, which must be free."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     step = 4_000_000
 
@@ -250,11 +252,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             p = scores(b.column(text_col))
             flag = pa.array((p >= threshold).astype(np.int32))
             if carry:
-                yield pa.RecordBatch.from_arrays([*b.columns, flag], [*b.schema.names, "predicted"])
+                yield pa.RecordBatch.from_arrays([*b.columns, flag], [*b.schema.names, carry])
             else:
                 yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(p), flag], [id_col, "score", "predicted"])
 
     if carry:
-        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("predicted", T.IntegerType())]))
+        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(carry, T.IntegerType())]))
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")

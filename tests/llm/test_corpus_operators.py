@@ -383,3 +383,38 @@ def test_histogram_bound_is_never_too_low():
     most = h.bound(x, h, y)
     common = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y)])
     assert (most >= common).all() and (most[common == 0] < 1 << 40).any()
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names go through every stage."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    shape = "doc_id long, text string, lang string, source string, n_chars long, predicted int, _text_key string, key string, cls string, n_removed_words string, row string, length int, `odd name` string"
+    more = (7, "k", "a", "b", "w", "r", 3, "o")
+    texts = [(i, line(40)) for i in range(60)] + [(100, None), (101, ""), (102, " \n"), (103, line(30_000)), (104, "same " * 40), (105, "same " * 40), (None, line(50)), (None, line(50)), (7, line(45))]
+    for i in range(0, 60, 5):
+        texts[i] = (i, texts[i][1] + " grublok vexxumite")
+    rows = [(i, t, "en", "s", len(t or ""), *more) for i, t in texts]
+    rows += [rows[3], rows[3], rows[60]]
+    sf = str(tmp_path / "sf")
+    spark.createDataFrame(rows, shape).repartition(3).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(60)] + [(None, 1, 1), (100, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, ""), (3, line(20))], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, sf)
+        assert left.columns == docs.columns, name
+        got = left.collect()
+        assert {r["odd name"] for r in got} == {"o"} and {r["predicted"] for r in got} == {7} and {r["n_removed_words"] for r in got} == {"w"}, name
+        ids = [r["doc_id"] for r in got]
+        assert {100, 101, 102, 103, 104} <= set(ids) and ids.count(None) == 2 and ids.count(7) == 2, name
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+    assert ids.count(3) == 1 and 105 not in ids
+    assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() == len({*ids})
+    empty = str(tmp_path / "empty")
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{empty}/{t}.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
