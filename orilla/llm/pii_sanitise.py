@@ -7,9 +7,9 @@ content is ``IC(e) = log2(N / n(e))``, and a term of its documents discloses
 ``PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t)))`` of it, all counts being over
 documents. Terms whose share ``PMI / IC`` exceeds a threshold are generalised to
 their class, and beyond a second threshold removed, wherever they occur in the
-entity's documents (``sanitise`` gives the texts, ``find_pii`` the spans). Counts are exact. Terms are whole words; one that a pattern's span touches with a
+entity's documents (``sanitise`` gives the texts, ``find_pii`` the spans). Counts are exact, over all documents. Terms are whole words; one that a pattern's span touches with a
 letter is none. Entities and pairs need a least support in different texts, so that
-copies of one text prove nothing.
+copies of one text alone prove nothing.
 
 Positions count code points. A pattern's matches and the pieces between them
 (``split``) give every start, without a Python worker.
@@ -106,35 +106,38 @@ def masked(text: Column) -> Column:
     return F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def disclosing(found: DataFrame, documents: DataFrame, support: int, generalise: float, remove: float, broadcast_rows: int = 200_000) -> DataFrame:
+def disclosing(found: DataFrame, documents: DataFrame, support: int, generalise: float, remove: float, broadcast_rows: int = 100_000) -> DataFrame:
     """(entity, term, share, removed) of the terms that give an entity away.
 
-    Candidate pairs have the support; only their terms are counted over the corpus.
-    The candidates' count is checked before they are broadcast; else both sides shuffle.
+    Candidate pairs have the support; only their terms are counted over the corpus. Counts are
+    over documents, copies included, each text's copies being counted once beforehand; support
+    is over different texts. The candidates' number is checked before they are broadcast; else
+    both sides shuffle.
     """
-    total = documents.select("text_key").distinct().count() or 1
-    entities = found.select("text_key", F.explode("entities").alias("entity")).distinct()
+    total = documents.count() or 1
+    held = found.groupBy("text_key").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"))
+    entities = held.select("text_key", "copies", F.explode("entities").alias("entity"))
     # n_e bounds n_et from above, so that rarer entities have no pair
-    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= support) & (F.col("n_e") < total))
+    n_e = entities.groupBy("entity").agg(F.count("*").alias("s_e"), F.sum("copies").alias("n_e")).where((F.col("s_e") >= support) & (F.col("n_e") < total)).drop("s_e")
     held = workspace.materialize(entities.join(n_e, "entity"), "pii_entities")
     reach = F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - generalise))
-    # a term of more texts than this can't reach the threshold with any of a text's entities
-    texts = held.groupBy("text_key").agg(F.max(F.col("n_e") * reach).alias("most"))
+    # a term of more documents than this can't reach the threshold with any of a text's entities
+    texts = held.groupBy("text_key").agg(F.max(F.col("n_e") * reach).alias("most"), F.first("copies").alias("copies"))
     bag = F.array_distinct(F.regexp_extract_all(F.lower("masked"), F.lit(TERM), F.lit(0)))
-    bags = workspace.materialize(found.dropDuplicates(["text_key"]).join(texts, "text_key").select("text_key", "most", F.explode(bag).alias("term")), "pii_terms")
+    bags = workspace.materialize(found.dropDuplicates(["text_key"]).join(texts, "text_key").select("text_key", "most", "copies", F.explode(bag).alias("term")), "pii_terms")
     # n_near bounds n_t from below
-    n_near = bags.groupBy("term").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= support)
+    n_near = bags.groupBy("term").agg(F.count("*").alias("s_near"), F.sum("copies").alias("n_near")).where(F.col("s_near") >= support).drop("s_near")
     rare = bags.join(n_near, "term").where(F.col("n_near") <= F.col("most")).select("text_key", "term", "n_near")
     pairs = held.join(rare, "text_key").where(F.col("n_near") <= F.col("n_e") * reach)
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near"))
-    pairs = workspace.materialize(pairs.where((F.col("n_et") >= support) & (F.col("n_near") <= F.col("n_et") * reach)), "pii_pairs")
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("s_et"), F.sum("copies").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near"))
+    pairs = workspace.materialize(pairs.where((F.col("s_et") >= support) & (F.col("n_near") <= F.col("n_et") * reach)), "pii_pairs")
     terms = pairs.select("term").distinct()
     n_terms = terms.count()
     if n_terms == 0:
         return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit(False).alias("removed"))
-    bags = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0)))).alias("term"), "text_key")
+    bags = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0)))).alias("term"))
     bags = bags.join(F.broadcast(terms) if n_terms <= broadcast_rows else terms, "term", "left_semi")
-    n_t = bags.groupBy("term").agg(F.count_distinct("text_key").alias("n_t"))
+    n_t = bags.groupBy("term").agg(F.count("*").alias("n_t"))
     ic = F.log2(F.lit(float(total)) / F.col("n_e"))
     pmi = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_near", "n_et")))
     rated = pairs.join(n_t, "term").withColumn("share", pmi / ic)

@@ -429,14 +429,24 @@ def test_disclosing_terms_against_brute_force(spark):
     bag = lambda t: set(re.findall(r"[^\W\d_]{3,}", t.lower()))
     beside = {t: bag(mail.sub(" ", t)) for t in distinct if mail.search(t)}
     entities = {t: set(mail.findall(t)) for t in beside}
-    n = len(distinct)
-    n_t = Counter(w for t in distinct for w in bag(t))
-    n_near = Counter(w for b in beside.values() for w in b)
-    n_e = Counter(e for own in entities.values() for e in own)
-    n_et = Counter((e, w) for t, own in entities.items() for e in own for w in beside[t])
+    n = len(texts)
+    copies = Counter(t or "" for t in texts)
+    n_t, n_near, n_e, n_et = Counter(), Counter(), Counter(), Counter()
+    for t in distinct:
+        for w in bag(t):
+            n_t[w] += copies[t]
+    for t, own in entities.items():
+        for w in beside[t]:
+            n_near[w] += copies[t]
+        for e in own:
+            n_e[e] += copies[t]
+            for w in beside[t]:
+                n_et[e, w] += copies[t]
+    s_e = Counter(e for own in entities.values() for e in own)
+    s_et = Counter((e, w) for t, own in entities.items() for e in own for w in beside[t])
     kind = {}
     for (e, w), both in n_et.items():
-        if both >= 3 and n_e[e] >= 3 and n_e[e] < n:
+        if s_et[e, w] >= 3 and s_e[e] >= 3 and n_e[e] < n:
             share = math.log2(n * both / (n_e[e] * max(n_t[w], n_near[w], both))) / math.log2(n / n_e[e])
             if share >= 0.8:
                 kind[e, w] = "remove" if share >= 0.95 else "generalise"
