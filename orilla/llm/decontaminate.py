@@ -216,7 +216,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, coverage: f
 
         kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType
         item_type = to_arrow_type(item_kind)
-        return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, `{item_col}` {item_kind.simpleString()}, item_words long, covered_words long, n_tiles long, coverage double")
+        return docs.select(id_col, text_col).mapInArrow(tk.released(run), f"`{id_col}` {kind}, `{item_col}` {item_kind.simpleString()}, item_words long, covered_words long, n_tiles long, coverage double")
 
     return reduce(DataFrame.unionByName, [one(b) for b in _blocks(benchmark, min_match, least_words, item_col, "text")])
 
@@ -235,5 +235,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, coverage: f
                         bad[a + r] = True
                 yield b.filter(pa.array(~bad))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tk.released(run), docs.schema)
     return docs

@@ -138,7 +138,7 @@ def frequent_tokens(docs: DataFrame, text_col: str, width: int, most: int, least
                 t, c = np.unique(_sets(b.column(0).slice(a, z - a), width)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(t[c > 1].view(np.int64)), pa.array(c[c > 1])], ["token", "n"])
 
-    counts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "token long, n long")
+    counts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(tk.released(run), "token long, n long")
     top = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(most)
     return np.sort(top.select("token").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
 
@@ -156,7 +156,7 @@ def _index(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int
 
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return own.mapInArrow(run, f"id {kind}, text_key long, set_id binary, n long, sigs array<long>, hist binary")
+    return own.mapInArrow(tk.released(run), f"id {kind}, text_key long, set_id binary, n long, sigs array<long>, hist binary")
 
 
 def _tokens_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int, broadcast_rows: int = 500_000) -> DataFrame:
@@ -172,7 +172,7 @@ def _tokens_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
                 raw = tokens.tobytes()
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array([raw[8 * i : 8 * j] for i, j in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())], ["c", "tokens"])
 
-    return texts.mapInArrow(run, "c long, tokens binary").dropDuplicates(["c"])
+    return texts.mapInArrow(tk.released(run), "c long, tokens binary").dropDuplicates(["c"])
 
 
 def _bounded(percent: int):  # noqa: ANN202
@@ -212,12 +212,12 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     one = classes.select("c", "n", "hist", "id", "text_key")
     a, b = one.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("hist").alias("hx")), one.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("hist").alias("hy"))
     sized = pairs.join(a.hint("merge"), "x").join(b.hint("merge"), "y").where((F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
-    likely = workspace.materialize(sized.mapInArrow(_bounded(percent), "x long, y long"), "likely")
+    likely = workspace.materialize(sized.mapInArrow(tk.released(_bounded(percent)), "x long, y long"), "likely")
     ends = likely.select(F.col("x").alias("c")).union(likely.select(F.col("y").alias("c"))).distinct()
     sets = workspace.materialize(_tokens_of(docs, one.join(ends.hint("merge"), "c", "left_semi").select("c", "id", "text_key"), id_col, text_col, width), "tokens")
     full = likely.join(sets.select(F.col("c").alias("x"), F.col("tokens").alias("tx")).hint("merge"), "x")
     full = full.join(sets.select(F.col("c").alias("y"), F.col("tokens").alias("ty")).hint("merge"), "y")
-    return workspace.materialize(full.mapInArrow(_verified(percent), "x long, y long"), "links")
+    return workspace.materialize(full.mapInArrow(tk.released(_verified(percent)), "x long, y long"), "links")
 
 
 def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -239,7 +239,7 @@ def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Itera
         yield held
 
 
-def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (x, y) of one group of blocks that share a signature, differ in root, and may link.
 
     Members meet all others ``chunk`` at a time, so memory grows with the group's size alone.
@@ -308,7 +308,7 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent:
             for x, y in _group_pairs(t, percent, most):
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
-    return dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(run, "x long, y long").distinct()
+    return dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(tk.released(run), "x long, y long").distinct()
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", frequent: int = 500_000, least: int = 32, partners: int = 4) -> DataFrame:

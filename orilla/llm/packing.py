@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from orilla.llm import pieces as units
+from orilla.llm import textkernel as tk
 from orilla.llm import workspace
 
 log = logging.getLogger(__name__)
@@ -50,7 +51,7 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: s
         enc = units.encoder(path, keep_space, lower)
         for b in batches:
             text, ids_of = b.column(1), b.column(0)
-            for a, z in units.row_slices(text, 3_000_000):
+            for a, z in units.row_slices(text, 1_500_000):
                 counts, ids = enc.encode(text.slice(a, z - a))
                 at = np.concatenate([[0], np.cumsum(counts)])
                 row, piece, start, length, crc = [], [], [], [], []
@@ -66,7 +67,7 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: s
                 yield pa.RecordBatch.from_arrays([ids_of.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], [id_col, "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(tk.released(run), f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def completion(count: np.ndarray, room: int) -> list[int]:
@@ -351,4 +352,4 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_c
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(seq), pa.array(off)], [*b.schema.names[:-1], "sequence_id", "offset"])
 
     schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.select(*cut.columns, "rank").mapInArrow(place, schema)
+    return ranked.select(*cut.columns, "rank").mapInArrow(tk.released(place), schema)

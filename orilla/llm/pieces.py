@@ -51,7 +51,7 @@ class UnitEncoder:
     lower: the tokenizer lower-cases, so pieces are looked up with A-Z as a-z.
     """
 
-    def __init__(self, path: str, keep_space: bool, lower: bool, most: int = 1_500_000) -> None:
+    def __init__(self, path: str, keep_space: bool, lower: bool, most: int = 750_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)

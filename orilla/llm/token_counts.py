@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orilla.llm import pieces, workspace
+from orilla.llm import textkernel as tk
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 
@@ -49,7 +50,7 @@ def encode_counts(texts: DataFrame, path: str, keep_space: bool, lower: bool) ->
                 counts[a:z] = enc.encode(text.slice(a, z - a), want_ids=False)[0]
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(counts)], ["digest", "n_tokens"])
 
-    return texts.mapInArrow(run, "digest binary, n_tokens long")
+    return texts.mapInArrow(tk.released(run), "digest binary, n_tokens long")
 
 
 def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame | None:

@@ -257,6 +257,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(p), flag], [id_col, "score", "predicted"])
 
     if carry:
-        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(carry, T.IntegerType())]))
+        return docs.mapInArrow(tk.released(run), T.StructType([*docs.schema.fields, T.StructField(carry, T.IntegerType())]))
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+    return docs.select(id_col, text_col).mapInArrow(tk.released(run), f"`{id_col}` {kind}, score double, predicted int")
