@@ -42,6 +42,7 @@ NODES = 4000
 DEPTH = 4
 # nodes of the search over bins: far more than small tables need, some minutes where thousands of lengths stay open
 SEARCH = 20_000
+LIVE = 32  # levels of the search that hold the tables of their fillings: about 1 MB each
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", keep_space: bool = False, lower: bool = True) -> DataFrame:
@@ -253,10 +254,16 @@ def branch(count: np.ndarray, capacity: int, best: int, least: int, nodes: int)
 
     path: list[tuple[list[int], int]] = []
     used = 0
-    stack = [children(0)] if total else []
+    # (its children, how many of them were seen) of each level; only the last levels hold their tables, the others'
+    # children are enumerated anew when the search comes back: they come in the same order
+    stack: list[list] = [[children(0), 0]] if total else []
     visited = 0
     while stack:
-        step = next(stack[-1], "end")
+        level = stack[-1]
+        if level[0] is None:
+            level[0] = itertools.islice(children(used), level[1], None)
+        step = next(level[0], "end")
+        level[1] += 1
         if step == "end":
             stack.pop()
             if path:
@@ -284,7 +291,9 @@ def branch(count: np.ndarray, capacity: int, best: int, least: int, nodes: int)
             if seen.get(key, best) > used:
                 seen[key] = used
                 path.append(step)
-                stack.append(children(used))
+                if len(stack) >= LIVE:
+                    stack[-LIVE][0] = None
+                stack.append([children(used), 0])
                 continue
         used -= times
         for x in items:
