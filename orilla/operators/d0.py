@@ -32,16 +32,15 @@ def pattern_of(status: str, box: tuple[int, int, int, int], width: int, height:
     if status not in ("ok", "crop") or not (width and height):
         return None
     x, y, w, h = box
-    px = np.array([y, height - y - h, x, width - x - w])
-    return tuple((np.where(px > 2, px, 0) / (height, height, width, width)).tolist())
+    cut = ((y, height), (height - y - h, height), (x, width), (width - x - w, width))
+    return tuple(px / dim if px > 2 else 0.0 for px, dim in cut)
 
 
 def compatible(a: Pattern | None, b: Pattern | None) -> bool:
     """Both none, or the same sides with shares within the tolerance."""
     if a is None or b is None:
         return a is b
-    p, q = np.array(a), np.array(b)
-    return bool(((p > 0) == (q > 0)).all() and (np.abs(p - q) <= TOLERANCE).all())
+    return all((p > 0) == (q > 0) and abs(p - q) <= TOLERANCE for p, q in zip(a, b))
 
 
 class Fold:
