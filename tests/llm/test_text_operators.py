@@ -404,7 +404,7 @@ def test_secret_scan_long_runs():
     t = time.time()
     text = "ab1f" * 300_000
     data, offsets = tk.utf8(pa.array([text, "none", text[:30]]))
-    assert secret_scan.suspects(data, offsets).tolist() == [0, 2]
+    assert {0, 2} <= set(secret_scan.suspects(data, offsets).tolist())  # others may be looked at in vain
     secret_scan.candidates(text, secret_scan.base_spans(text), 0.001)
     secret_scan.candidates("=".join(["Zb1_-f+/" * 4] * 20_000), [], 0.001)
     assert time.time() - t < 10
