@@ -201,3 +201,29 @@ def test_line_profiles_of_all_sides_look_once(monkeypatch):
         framed = bar(framed, s, 30)
     assert set(raster.profile(framed)["candidates"]) == set(raster.SIDES)
     assert sum(seen) <= 2 * 300 * 400  # the detection and the frozen check
+
+
+def test_bright_rasters_are_not_put_in_order(monkeypatch):
+    rng = np.random.default_rng(6)
+
+    def plain(grid):
+        lo, hi = (float(x) for x in np.percentile(grid, (2, 98)))
+        return None if hi >= raster.EXPOSURE_TRIGGER or hi - lo < 1e-3 else (lo, hi)
+
+    for n in (1, 2, 49, 50, 51, 99, 100, 101, 5000):
+        for lit in (0, 0.01, 0.019, 0.02, 0.021, 0.03, 0.5):
+            for kind in (np.float32, np.float64):
+                grid = (rng.random(n) * 0.55).astype(kind)
+                grid[: round(n * lit)] = rng.choice([0.55, 0.5500001, 0.9])
+                assert raster.anchors(grid) == plain(grid), (n, lit)
+    monkeypatch.setattr(np, "percentile", lambda *_: pytest.fail("a bright raster was put in order"))
+    assert raster.anchors(raster.luma(bar(photo(), "bottom", 60))) is None
+
+
+def test_regions_of_winding_masks():
+    spiral = np.array([[c == "#" for c in line] for line in ("#######", "......#", "#####.#", "#...#.#", "#.###.#", "#.....#", "#######")])
+    boxes, area = raster.region_boxes(spiral, corners=False)
+    assert boxes.tolist() == [[0, 0, 7, 7]] and area.tolist() == [spiral.sum()]
+    comb = np.ones((40, 41), bool)
+    comb[:-1, 1::2] = False
+    assert raster.region_boxes(comb)[0].tolist() == [[0, 0, 41, 40]]
