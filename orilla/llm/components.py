@@ -34,4 +34,5 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(seen) == mark or not seen[0]:
             return now
         mark = tuple(seen)
-        now = workspace.materialize(_star(_star(now, True), False), "edges")
+        before, now = now, workspace.materialize(_star(_star(now, True), False), "edges")
+        workspace.discard(before)

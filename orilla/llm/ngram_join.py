@@ -15,7 +15,9 @@ The set whose prefix ends first finds its signature in the other's prefix.
 Candidates are verified on whole sets, after an exact upper bound from
 histograms of token hashes. Classes of one signature are first compared with one
 of them, then with their likeliest partners, then with all others, each time only
-across components, as what is linked by then needs no further comparison. All joins
+across components, as what is linked by then needs no further comparison. What an
+earlier round has settled isn't moved again: signatures of two classes are done with
+the first round, groups that gave out all their pairs with the second. All joins
 are merge joins at every size: broadcasts on small inputs alone would hide what they move. Large
 groups are compared block by block inside tasks, which give out only the pairs
 that the bound allows. No candidate is dropped.
@@ -207,17 +209,21 @@ def _verified(percent: int):  # noqa: ANN202
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """The pairs (x, y) of classes that link."""
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs (x, y) of classes whose sizes and histograms allow a link, and those that link."""
     one = classes.select("c", "n", "hist", "id", "text_key")
-    a, b = one.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("hist").alias("hx")), one.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("hist").alias("hy"))
-    sized = pairs.join(a.hint("merge"), "x").join(b.hint("merge"), "y").where((F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
+    # most pairs go by their sizes, so the histograms meet only what is left
+    sized = pairs.join(one.select(F.col("c").alias("x"), F.col("n").alias("nx")).hint("merge"), "x").join(one.select(F.col("c").alias("y"), F.col("n").alias("ny")).hint("merge"), "y")
+    sized = sized.where(F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
+    sized = sized.join(one.select(F.col("c").alias("y"), F.col("hist").alias("hy")).hint("merge"), "y").join(one.select(F.col("c").alias("x"), F.col("hist").alias("hx")).hint("merge"), "x")
     likely = workspace.materialize(sized.mapInArrow(tk.released(_bounded(percent)), "x long, y long"), "likely")
     ends = likely.select(F.col("x").alias("c")).union(likely.select(F.col("y").alias("c"))).distinct()
     sets = workspace.materialize(_tokens_of(docs, one.join(ends.hint("merge"), "c", "left_semi").select("c", "id", "text_key"), id_col, text_col, width), "tokens")
     full = likely.join(sets.select(F.col("c").alias("x"), F.col("tokens").alias("tx")).hint("merge"), "x")
     full = full.join(sets.select(F.col("c").alias("y"), F.col("tokens").alias("ty")).hint("merge"), "y")
-    return workspace.materialize(full.mapInArrow(tk.released(_verified(percent)), "x long, y long"), "links")
+    found = workspace.materialize(full.mapInArrow(tk.released(_verified(percent)), "x long, y long"), "links")
+    workspace.discard(sets)
+    return likely, found
 
 
 def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -239,11 +245,11 @@ def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Itera
         yield held
 
 
-def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """Pairs (x, y) of one group of blocks that share a signature, differ in root, and may link.
 
     Members meet all others ``chunk`` at a time, so memory grows with the group's size alone.
-    With ``most``, each member's likeliest partners come out.
+    With ``most``, each member's likeliest partners come out, and whether others wait.
     """
     t = t.combine_chunks()
     i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
@@ -279,23 +285,26 @@ def _group_pairs(t: pa.Table, percent: int, most: int | None, chunk: int = 256)
             ok[k : k + 20_000] = 100 * most_common >= percent * (total - most_common)
             near[k : k + 20_000] = most_common / (total - most_common)
         p, q, near = p[ok], q[ok], near[ok]
+        wait = False
         if most is not None and len(p):
             # the likeliest partners first; the others wait for the last round
             order = np.lexsort((-near, p))
             first = np.concatenate([[0], np.flatnonzero(np.diff(p[order])) + 1])
             rank = np.arange(len(p)) - np.repeat(first, np.diff(np.append(first, len(p))))
             p, q = p[order][rank < most], q[order][rank < most]
+            wait = bool((rank >= most).any())
         if len(p):
-            yield np.minimum(c[p], c[q]), np.maximum(c[p], c[q])
+            yield np.minimum(c[p], c[q]), np.maximum(c[p], c[q]), wait
 
 
 def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent: int, most: int | None, block: int = 4096) -> DataFrame:
-    """Pairs of classes in different components that share a signature and may link.
+    """Pairs (x, y) of classes in different components that share a signature and may link.
 
     All classes of one signature have the same hub, so rows are gathered by hub, each
     class once with its signatures there. Large groups are cut into blocks of a bounded
     size, and every two blocks meet in a task of their own. With ``most``, only the
-    likeliest partners of each class come out; the call without it gives all the rest.
+    likeliest partners of each class come out, and rows (hub) of the groups where others
+    wait; the call without it, on these hubs, gives all the rest.
     """
     named = shared.join(root.select(F.col("u").alias("c"), F.col("v").alias("root")).hint("merge"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     member = workspace.materialize(named.groupBy("hub", "c", "root").agg(F.collect_list("sig").alias("sigs")), "open")
@@ -305,10 +314,17 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, root: DataFrame, percent:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _rows_of_groups(batches, ["hub", "i", "j"]):
-            for x, y in _group_pairs(t, percent, most):
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+            some = False
+            for x, y, wait in _group_pairs(t, percent, most):
+                some |= wait
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.nulls(len(x), pa.int64())], ["x", "y", "hub"])
+            if some:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([t.column("hub")[0].as_py()], pa.int64())], ["x", "y", "hub"])
 
-    return dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(tk.released(run), "x long, y long").distinct()
+    found = dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(tk.released(run), "x long, y long, hub long").distinct()
+    found = workspace.materialize(found, "found")
+    workspace.discard(member)
+    return found
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", frequent: int = 500_000, least: int = 32, partners: int = 4) -> DataFrame:
@@ -320,36 +336,49 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
     stand for several texts, different components may have one component_id.
     """
     often = frequent_tokens(docs, text_col, width, frequent, least)
-    rows = workspace.materialize(_index(docs, id_col, text_col, width, percent, often), "sets")
-    full = rows.where("n > 0")
+    sets = workspace.materialize(_index(docs, id_col, text_col, width, percent, often), "sets")
     # the first row of each set, with all that the join needs of it, in one shuffle
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n", "sigs", "hist"))
-    firsts = full.groupBy("set_id").agg(first.alias("k")).select("set_id", "k.id", "k.text_key", "k.n", "k.sigs", "k.hist")
+    firsts = sets.where("n > 0").groupBy("set_id").agg(first.alias("k")).select("set_id", "k.id", "k.text_key", "k.n", "k.sigs", "k.hist")
     # 64 bits name a class in the index; classes that share them are compared like any others
-    classes = workspace.materialize(firsts.withColumn("c", F.xxhash64("set_id")), "classes")
-    index = classes.select("c", F.explode("sigs").alias("sig"))
-    hubs = index.groupBy("sig").agg(F.min("c").alias("hub"), F.max("c").alias("far")).where("hub <> far").select("sig", "hub")
-    shared = workspace.materialize(index.join(hubs.hint("merge"), "sig").select("sig", "c", "hub"), "shared")
-    links = tried = None
-    root = shared.sparkSession.createDataFrame([], "u long, v long")
-    for most in (0, partners, None):
-        if most == 0:
-            pairs = shared.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct()
-        else:
-            pairs = _open_pairs(shared, classes, root, percent, most).join(tried.hint("merge"), ["x", "y"], "left_anti")
-        pairs = workspace.materialize(pairs, "pairs")
-        if links is not None and pairs.isEmpty():
-            continue
-        found = _links(pairs, classes, docs, id_col, text_col, width, percent)
-        if not found.isEmpty():
-            root = components(root.unionByName(found.select(F.col("x").alias("u"), F.col("y").alias("v"))))
-        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
+    signed = workspace.materialize(firsts.withColumn("c", F.xxhash64("set_id")), "signed")
+    # signatures are long: only what is read later outlives the index
+    rows = workspace.materialize(sets.select("id", "text_key", "n", "set_id"), "rows")
+    workspace.discard(sets)
+    index = signed.select("c", F.explode("sigs").alias("sig"))
+    hubs = index.groupBy("sig").agg(F.min("c").alias("hub"), F.max("c").alias("far"), F.count("*").alias("m")).where("hub <> far").select("sig", "hub", (F.col("m") > 2).alias("more"))
+    shared = workspace.materialize(index.join(hubs.hint("merge"), "sig").where("c <> hub").select("sig", "c", "hub", "more"), "shared")
+    classes = workspace.materialize(signed.drop("sigs"), "classes")
+    workspace.discard(signed)
+    likely, links = _links(shared.select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct(), classes, docs, id_col, text_col, width, percent)
+    ends = [F.col("x").alias("u"), F.col("y").alias("v")]
+    root = components(links.select(*ends))
+    # every class of a signature has met its hub, so only two others can be open
+    wait, tried = shared.where("more").drop("more"), likely
+    spent = [shared, classes, likely, links, root]
+    for most in (partners, None):
+        given = _open_pairs(wait, classes, root, percent, most)
+        # a pair that a group gives out passed the same bounds if it was tried
+        pairs = workspace.materialize(given.where("hub IS NULL").select("x", "y").join(tried.hint("merge"), ["x", "y"], "left_anti"), "pairs")
+        spent += [given, pairs]
+        if not pairs.isEmpty():
+            likely, found = _links(pairs, classes, docs, id_col, text_col, width, percent)
+            if not found.isEmpty():
+                root = components(root.unionByName(found.select(*ends)))
+                spent.append(root)
+            spent += [likely, found]
+            links, tried = links.unionByName(found), tried.unionByName(likely)
+        held = given.where("hub IS NOT NULL").select("hub").distinct()
+        if held.isEmpty():
+            break
+        wait = wait.join(held.hint("merge"), "hub", "left_semi")
     root = root.select(F.col("u").alias("c"), F.col("v").alias("root"))
     degree = links.select(F.col("x").alias("c")).union(links.select(F.col("y").alias("c"))).groupBy("c").agg(F.count("*").alias("n_links"))
     member = classes.select("set_id", "c", "id").join(root.hint("merge"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least_id = member.groupBy("root").agg(F.min("id").alias("component_id"))
     of_set = workspace.materialize(member.join(least_id.hint("merge"), "root").join(degree.hint("merge"), "c", "left").select("set_id", "component_id", "root", F.coalesce("n_links", F.lit(0)).alias("n_links")), "groups")
-    out = rows.select("id", "text_key", "n", "set_id").join(of_set.hint("merge"), "set_id", "left")
+    workspace.discard(*spent)
+    out = rows.join(of_set.hint("merge"), "set_id", "left")
     return out.select(F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.col("root").alias("component"))
 
 

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,4 +56,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _path_of[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialised tables that nothing reads any more, so that their disk is free before the driver ends."""
+    for t in tables:
+        drop(t.sparkSession, _path_of.pop(t))

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from orilla.llm import components, decontaminate, line_dedup, ngram_join
+from orilla.llm import components, decontaminate, line_dedup, ngram_join, workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,6 +65,52 @@ def test_jaccard_join(spark, width, percent, least):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()} == brute_groups(rows, width, percent)
 
 
+def test_join_moves_no_settled_rows_and_frees_its_disk(spark, monkeypatch):
+    """Signatures of two classes stay out of the later rounds; only what the result reads is left in the shared folder."""
+    made, plain = [], workspace.materialize
+
+    def noted(df, name):
+        out = plain(df, name)
+        made.append((name, out.count(), workspace._made[-1][1]))
+        return out
+
+    monkeypatch.setattr(workspace, "materialize", noted)
+    twins = [(2 * k + j, " ".join(f"v{k}_{i}" for i in range(60 + j))) for k in range(5) for j in range(2)]
+    crowd = [(100 + k, " ".join(f"c{i + 3 * k}" for i in range(100))) for k in range(12)]  # a chain: only neighbours link
+    for rows, partners in ((twins, 4), (twins + crowd, 1)):
+        made.clear()
+        out = ngram_join.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90, partners=partners)
+        there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        left = {name for name, _, path in made if there(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there(path))}
+        assert left == {"rows", "groups"}
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()} == brute_groups(rows, 3, 90)
+        assert (rows == twins) == ([n for name, n, _ in made if name == "open"] == [0])
+
+
+def test_group_tells_whether_pairs_wait():
+    """Without word of waiting pairs, a group's likeliest partners are all of its pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    seen = set()
+    for m in (2, 3, 4, 8, 300):
+        for most in (1, 2, 400):
+            base = rng.integers(0, 2**63, 100, dtype=np.uint64)
+            sets = [np.unique(np.concatenate([base[: 100 - k % 5], rng.integers(0, 2**63, k % 5, dtype=np.uint64)])) for k in range(m)]
+            at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+            hist = ngram_join._histograms(np.concatenate(sets), at)
+            t = pa.table({"i": [0] * m, "j": [0] * m, "block": [0] * m, "c": list(range(m)), "root": [k // 2 for k in range(m)], "n": np.diff(at), "sigs": [[k % 3, 7] for k in range(m)], "hist": hist})
+            every = {p for x, y, _ in ngram_join._group_pairs(t, 90, None) for p in zip(x.tolist(), y.tolist())}
+            some, wait = set(), False
+            for x, y, w in ngram_join._group_pairs(t, 90, most):
+                some |= set(zip(x.tolist(), y.tolist()))
+                wait |= w
+            assert some <= every and (wait or some == every)
+            seen.add(wait)
+    assert seen == {True, False}
+
+
 def test_keep_first(spark):
     rows = corpus(8)
     df = spark.createDataFrame([*rows, (None, rows[10][1]), (3, "A b")], "doc_id long, text string").repartition(3)
